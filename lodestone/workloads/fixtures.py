@@ -129,7 +129,8 @@ class Workspace:
         self.path = scratch_path(spark, name)
         self._made = self._built.setdefault(self.path, set())
 
-    def _once(self, name, build):
+    def folder(self, name, build):
+        """Path of a table that ``build(path)`` writes the first time."""
         path = f"{self.path}/{name}"
         if name not in self._made:
             build(path)
@@ -137,12 +138,12 @@ class Workspace:
         return path
 
     def _index(self, name, postings, min_df):
-        path = self._once(name, lambda p: write_index(
+        path = self.folder(name, lambda p: write_index(
             Index(postings(), None, None, min_df), p, N_BUCKETS))
         return read_index(self.spark, path)
 
     def _frame(self, name, frame) -> DataFrame:
-        path = self._once(name, lambda p: frame().write.mode("overwrite").parquet(p))
+        path = self.folder(name, lambda p: frame().write.mode("overwrite").parquet(p))
         return self.spark.read.parquet(path)
 
     @property
