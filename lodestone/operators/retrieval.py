@@ -30,11 +30,11 @@ def matching_postings(batch: QueryBatch, terms: DataFrame, index: Index) -> Data
     ``terms`` is (query_id, term, ...). It meets the term statistics first, which
     drops unknown and rare terms; what is left picks bucket folders and postings.
     """
-    known = index.terms.select("term", "df").join(batch.broadcast_terms(terms), "term")
     keys = ["term"]
     if index.n_buckets:
-        known = known.withColumn("bucket", term_bucket("term", index.n_buckets))
+        terms = terms.withColumn("bucket", term_bucket("term", index.n_buckets))
         keys = ["bucket", "term"]
+    known = index.terms.select("term", "df").join(batch.broadcast_terms(terms), "term")
     return index.postings.join(batch.broadcast_terms(known), keys)
 
 
