@@ -95,15 +95,49 @@ def parameter_starts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, PARAMETERS)
 
 
+def sweep_candidates(features: DataFrame, k: int, least_weight: float) -> DataFrame:
+    """The feature rows that can be among a query's first k under some setting.
+
+    Rows outside the BM25 list fall into classes by where they matched: within
+    one, all share the fused weight w >= ``least_weight`` > 0 and score
+    w * pr * pv. Two exact cuts follow. A row k of whose class have the same
+    priors and come earlier in the tie order never makes the list. Neither does
+    one whose pr * pv is so far below the class's k-th that scores differ by more
+    than their rounding. Priors closer than that stay, however many.
+    """
+    if least_weight <= 0:
+        return features
+    kind = ["query_id", "in_title", "in_anchor"]
+    ranked = features.where(F.col("bm25_rank").isNotNull())
+    others = features.where(F.col("bm25_rank").isNull()).withColumns({
+        "in_title": F.col("title_words") > 0,
+        "in_anchor": F.col("anchor_words") > 0,
+        "prior": F.col("pr") * F.col("pv"),
+    })
+    same_score = top_k_per_query(others, k, fusion_order()[1:], [*kind, "pr", "pv"]).drop("rank")
+    lowest = (
+        top_k_per_query(others.select(*kind, "prior"), k, [F.desc("prior")], kind)
+        .where(F.col("rank") == k)
+        .select(*kind, (F.col("prior") * (1 - 1e-9) - 2e-9 / least_weight).alias("lowest"))
+    )
+    kept = (
+        same_score.join(lowest, kind, "left")
+        .where(F.col("lowest").isNull() | (F.col("prior") >= F.col("lowest")))
+        .select(*features.columns)
+    )
+    return ranked.unionByName(kept)
+
+
 def parameter_sweep(features: DataFrame, queries: DataFrame, qrels: DataFrame,
                     params: DataFrame, k: int = 40) -> DataFrame:
     """(param_id, total_ap): summed average precision of hybrid search per setting.
 
     b weighs the BM25 rank, k1 that of questions, k3 a title hit, k5 that of
     short queries, k4 an anchor hit. pr and pv scale all scores alike and change
-    no order. Features are computed once; settings, at most ``MAX_PARAMETERS``,
-    are applied row by row inside each task, where all but the best k per query
-    and setting are dropped before the shuffle.
+    no order. Features are computed once and cut to the rows that can matter
+    (``sweep_candidates``). Settings, at most ``MAX_PARAMETERS``, are applied
+    row by row inside each task, where all but the best k per query and setting
+    are dropped before the shuffle.
     """
     settings = params.limit(MAX_PARAMETERS + 1).collect()
     if len(settings) > MAX_PARAMETERS:
@@ -112,12 +146,18 @@ def parameter_sweep(features: DataFrame, queries: DataFrame, qrels: DataFrame,
     points = F.array(*[
         F.struct(*[F.lit(row[name]).alias(name) for name in names]) for row in settings
     ])
+    least_weight = min(
+        (min(row["k3"], row["k4"], row["k5"]) * row["pr"] * row["pv"]
+         if min(row[name] for name in names[1:]) > 0 else 0.0 for row in settings),
+        default=0.0,
+    )
     batch = QueryBatch.of(queries)
     kinds = batch.queries.select(
         "query_id", is_question("query").alias("question"), is_short_query("query").alias("short")
     )
     scored = (
-        features.join(batch.broadcast_terms(kinds), "query_id")
+        sweep_candidates(features, k, least_weight)
+        .join(batch.broadcast_terms(kinds), "query_id")
         .select("*", F.explode(points).alias("point"))
         .withColumn("param_id", F.col("point.param_id"))
         .withColumn("score", fusion_score(

@@ -46,24 +46,27 @@ def pagerank(edges: DataFrame, vertices: DataFrame, reset=0.15, iters=6, partiti
     in-neighbours' r / out-degree. Pages without links pass nothing on. At the
     end ranks are scaled to sum to the number of vertices.
 
-    Edges are partitioned by source and vertices by id once, so an iteration
-    shuffles only contributions, summed per task before they move. Sources with
+    Edges are partitioned and sorted by source and vertices by id once, so an
+    iteration shuffles only contributions, summed per task before they move. Sources with
     more than ``heavy_degree`` links would overload their partition: their edges
     stay spread out and meet a broadcast of those few ranks, of which there are
-    fewer than edges / heavy_degree. Ranks are checkpointed every few rounds.
+    fewer than edges / heavy_degree. Edges, vertices and, every few rounds, ranks
+    are checkpointed, so that a lost executor costs no earlier round again.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     store = StorageLevel.MEMORY_AND_DISK
 
-    edges = edges.select("src", "dst").persist(store)
+    edges = edges.select("src", "dst").checkpoint()
     degrees = edges.groupBy("src").agg(F.count("*").alias("degree"))
     state = (
         vertices.select("id")
         .join(degrees, F.col("id") == F.col("src"), "left")
         .select("id", F.coalesce("degree", F.lit(0)).alias("degree"))
+        .checkpoint()
         .repartition(partitions, "id")
+        .sortWithinPartitions("id")
         .persist(store)
     )
     size = state.agg(
@@ -80,7 +83,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame, reset=0.15, iters=6, partiti
         heavy = edges.join(F.broadcast(heavy_ids), "src", "left_semi")
     else:
         light, heavy = edges, None
-    light = partition_graph(light, partitions).persist(store)
+    light = partition_graph(light, partitions).sortWithinPartitions("src").persist(store)
 
     ranks = state.withColumn("rank", F.lit(1.0))
     for step in range(1, iters + 1):
@@ -98,7 +101,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame, reset=0.15, iters=6, partiti
         )
         if step % checkpoint_every == 0 or step == iters:
             ranks = ranks.checkpoint()
-    for frame in (light, state, edges):
+    for frame in (light, state):
         frame.unpersist()
 
     total = ranks.agg(F.sum("rank")).scalar()

@@ -113,13 +113,16 @@ def retained_postings(postings: DataFrame, term_stats: DataFrame, min_df: int) -
     """
     if min_df <= 0:
         return postings
-    frequent = term_stats.where(F.col("df") > min_df).select("term")
-    return postings.join(frequent, "term", "left_semi")
+    # cf is never below df. Naming it keeps tf in both branches when term_stats is
+    # derived from the same postings, and an inner join (terms are unique) stays
+    # above their aggregate: both branches share one shuffle.
+    frequent = term_stats.where((F.col("df") > min_df) & (F.col("cf") > min_df)).select("term")
+    return postings.join(frequent, "term").select(*postings.columns)
 
 
 def prune_rare_terms(postings: DataFrame, min_df: int = 50) -> DataFrame:
     """Keep terms whose document frequency is strictly above ``min_df``."""
-    return retained_postings(postings, document_frequency(postings), min_df)
+    return retained_postings(postings, term_statistics(postings), min_df)
 
 
 def partition_postings(postings: DataFrame, n: int = 124) -> DataFrame:

@@ -16,6 +16,16 @@ def broadcast_if_bounded(df: DataFrame, rows: int, limit: int = MAX_BROADCAST_RO
     return F.broadcast(df) if rows <= limit else df
 
 
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """Share the rows of a plain table scan between all cores.
+
+    Only a scan with fewer splits than cores is shuffled, such as a single row
+    group; a large table comes back as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 class QueryBatch:
     """A table (query_id, query) with its measured size.
 

@@ -23,7 +23,7 @@ def parse_pageview_line(lines: DataFrame, project: str = "en.wikipedia") -> Data
     digits = r"^[0-9]+$"
     return (
         lines.where(F.col("value").rlike("^" + re.escape(project)))
-        .select(fields.getItem(2).alias("doc_id"), fields.getItem(4).alias("views"))
+        .select(F.get(fields, 2).alias("doc_id"), F.get(fields, 4).alias("views"))
         .where(F.col("doc_id").rlike(digits) & F.col("views").rlike(digits))
         .select(F.col("doc_id").cast("bigint"), F.col("views").cast("bigint"))
     )

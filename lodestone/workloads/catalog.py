@@ -21,7 +21,7 @@ from ..operators import indexing as ix
 from ..operators import queries as qs
 from ..operators import retrieval as rt
 from ..plans.ranking import top_k_per_query
-from ..plans.sizing import QueryBatch
+from ..plans.sizing import QueryBatch, spread_scan
 from . import fixtures as fx
 from .fixtures import BODY_MIN_DF, N_BUCKETS, Workspace, table
 
@@ -35,7 +35,7 @@ def query(function):
 
 
 def _documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread_scan(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 def _rounded(df: DataFrame, *columns, digits=6) -> DataFrame:

@@ -103,21 +103,16 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.substring_index("text", "\n", 1).alias("title"))
 
 
-def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def qrels(spark: SparkSession, sf_dir: str, body: Index) -> DataFrame:
     """Judged relevant: good-quality documents with the first token of the query."""
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     first = query_term_counts(queries(spark, sf_dir)).where("pos = 0").select("query_id", "term")
-    occurrences = body_postings(spark, sf_dir).select("term", "doc_id")
     return (
-        occurrences.join(first, "term").join(good, "doc_id", "left_semi")
-        .select("query_id", "doc_id")
+        body.postings.select("term", "doc_id").join(first, "term")
+        .join(good, "doc_id", "left_semi").select("query_id", "doc_id")
     )
 
 
-def body_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return term_frequencies(table(spark, sf_dir, "documents").select("doc_id", "text"))
-
-
 class Workspace:
     """Stored indexes and priors of one data folder, built once per application."""
 
@@ -148,7 +143,10 @@ class Workspace:
 
     @property
     def corpus(self) -> DataFrame:
-        return self._frame("corpus", lambda: corpus(self.spark, self.sf_dir))
+        # One file per core at least, as the test tables are single row groups.
+        cores = self.spark.sparkContext.defaultParallelism
+        return self._frame(
+            "corpus", lambda: corpus(self.spark, self.sf_dir).repartition(cores, "id"))
 
     @property
     def body(self) -> Index:
@@ -194,7 +192,7 @@ class Workspace:
 
     @property
     def qrels(self) -> DataFrame:
-        return self._frame("qrels", lambda: qrels(self.spark, self.sf_dir))
+        return self._frame("qrels", lambda: qrels(self.spark, self.sf_dir, self.body))
 
     @property
     def features(self) -> DataFrame:

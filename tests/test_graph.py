@@ -1,0 +1,91 @@
+import pytest
+from pyspark.sql import functions as F
+
+from lodestone.operators import graph
+
+from . import micro
+
+EDGES = [(1, 2), (1, 3), (2, 3), (3, 1), (4, 3), (4, 5)]
+# Known ranks of this graph after six rounds.
+RANKS = {1: 1.682733, 2: 0.965999, 3: 1.871229, 4: 0.197954, 5: 0.282085}
+
+
+def python_pagerank(edges, vertices, iters, reset=0.15):
+    out = {}
+    for s, _ in edges:
+        out[s] = out.get(s, 0) + 1
+    rank = dict.fromkeys(vertices, 1.0)
+    for _ in range(iters):
+        got = dict.fromkeys(vertices, 0.0)
+        for s, d in edges:
+            got[d] += rank[s] / out[s]
+        rank = {v: reset + (1 - reset) * got[v] for v in vertices}
+    scale = len(rank) / sum(rank.values())
+    return {v: r * scale for v, r in rank.items()}
+
+
+def ranks(df):
+    return {r.id: r.pagerank for r in df.collect()}
+
+
+def frames(spark, edges):
+    table = spark.createDataFrame(edges, "src bigint, dst bigint")
+    return table, graph.edge_vertices(table)
+
+
+@pytest.mark.parametrize("heavy_degree", [1_000_000, 1])
+def test_known_ranks(spark, heavy_degree):
+    found = ranks(graph.pagerank(*frames(spark, EDGES), heavy_degree=heavy_degree))
+    assert found == pytest.approx(RANKS, abs=1e-6)
+    assert sum(found.values()) == pytest.approx(5)
+
+
+@pytest.mark.parametrize("iters,heavy_degree", [(10, 1_000_000), (4, 5)])
+def test_hub_with_many_links(spark, iters, heavy_degree):
+    """A page with a third of all links, and one that draws most of them."""
+    edges = [(0, i) for i in range(1, 60)] + [(i, 0) for i in range(1, 60, 2)]
+    edges += [(i, (i * 7) % 60) for i in range(1, 60)] + [(5, 5)]
+    edges = sorted(set(edges))
+    found = ranks(graph.pagerank(*frames(spark, edges), iters=iters, heavy_degree=heavy_degree))
+    vertices = {v for e in edges for v in e}
+    assert found == pytest.approx(python_pagerank(edges, vertices, iters))
+
+
+def test_no_edges(spark):
+    edges = spark.createDataFrame([], "src bigint, dst bigint")
+    vertices = spark.range(3)
+    assert ranks(graph.pagerank(edges, vertices)) == pytest.approx({0: 1.0, 1: 1.0, 2: 1.0})
+
+
+def test_iterations_do_not_shuffle_edges(spark):
+    """The cached edges keep their partitioning in the join with the ranks."""
+    table, vertices = frames(spark, EDGES)
+    light = graph.partition_graph(table, 4).sortWithinPartitions("src").persist()
+    state = vertices.repartition(4, "id").sortWithinPartitions("id").persist()
+    light.count(), state.count()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = light.join(state.withColumnRenamed("id", "src"), "src")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        light.unpersist(), state.unpersist()
+    join = plan[plan.index("SortMergeJoin"):]
+    top = join[: join.index("InMemoryRelation")]
+    assert "Exchange" not in top and "Sort [" not in top
+
+
+def test_link_graph(spark):
+    corpus = micro.corpus(spark)
+    edges, vertices = graph.link_graph(corpus)
+    expected = {(a[0], d) for a in micro.ARTICLES for d, _ in a[3]}
+    assert sorted(map(tuple, edges.collect())) == sorted(expected)
+    ids = {a[0] for a in micro.ARTICLES} | {d for _, d in expected}
+    assert sorted(r.id for r in vertices.collect()) == sorted(ids)
+
+
+def test_sort_ranks(spark):
+    df = spark.createDataFrame([(1, 0.5), (2, 2.0), (3, 0.5)], "id bigint, pagerank double")
+    assert [r.id for r in graph.sort_ranks(df).collect()] == [2, 1, 3]
+    assert graph.sort_ranks(df).select(F.first("id")).first()[0] == 2
