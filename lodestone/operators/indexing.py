@@ -54,16 +54,34 @@ def term_occurrences(docs: DataFrame, stopwords=None) -> DataFrame:
     )
 
 
-def term_frequencies(docs: DataFrame, stopwords=None) -> DataFrame:
-    """Postings (term, doc_id, tf) of (doc_id, text).
+def count_tokens(docs: DataFrame) -> DataFrame:
+    """(term, doc_id, tf) of (doc_id, tokens), counted inside each row.
 
-    Counts are complete before the shuffle, since a document lies in one row;
-    the shuffle moves postings, not tokens.
+    Tokens are sorted and runs of equal ones measured, so counting needs no
+    shuffle. A doc_id is expected on one row only.
     """
-    return (
-        term_occurrences(docs, stopwords)
-        .groupBy("term", "doc_id").agg(F.count("*").alias("tf"))
+    none = F.array()
+    words = docs.select(
+        "doc_id",
+        F.sort_array(F.coalesce("tokens", none.cast("array<string>"))).alias("words"),
     )
+    word, size = F.col("words"), F.size("words")
+    places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(none.cast("array<int>"))
+    starts = F.filter(places, lambda i: (i == 0) | (word[i] != word[i - 1]))
+    runs = words.select("doc_id", "words", starts.alias("starts"))
+    bounds = F.concat("starts", F.array(F.size("words")))
+    ends = F.slice(bounds, 2, F.size("starts"))
+    counts = F.zip_with("starts", ends, lambda start, end: F.struct(
+        word[start].alias("term"), (end - start).cast("bigint").alias("tf")))
+    return runs.select("doc_id", F.explode(counts).alias("run")).select(
+        "run.term", "doc_id", "run.tf")
+
+
+def term_frequencies(docs: DataFrame, stopwords=None) -> DataFrame:
+    """Postings (term, doc_id, tf) of (doc_id, text), one row per document, without a shuffle."""
+    words = index_stopwords() if stopwords is None else list(stopwords)
+    return count_tokens(docs.select("doc_id", tokenize("text").alias("tokens"))).where(
+        ~F.col("term").isin(words))
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:
@@ -113,16 +131,13 @@ def retained_postings(postings: DataFrame, term_stats: DataFrame, min_df: int) -
     """
     if min_df <= 0:
         return postings
-    # cf is never below df. Naming it keeps tf in both branches when term_stats is
-    # derived from the same postings, and an inner join (terms are unique) stays
-    # above their aggregate: both branches share one shuffle.
-    frequent = term_stats.where((F.col("df") > min_df) & (F.col("cf") > min_df)).select("term")
-    return postings.join(frequent, "term").select(*postings.columns)
+    frequent = term_stats.where(F.col("df") > min_df).select("term")
+    return postings.join(frequent, "term", "left_semi")
 
 
 def prune_rare_terms(postings: DataFrame, min_df: int = 50) -> DataFrame:
     """Keep terms whose document frequency is strictly above ``min_df``."""
-    return retained_postings(postings, term_statistics(postings), min_df)
+    return retained_postings(postings, document_frequency(postings), min_df)
 
 
 def partition_postings(postings: DataFrame, n: int = 124) -> DataFrame:
@@ -175,17 +190,9 @@ def build_index(docs: DataFrame, min_df: int = 50, stopwords=None) -> Index:
     return Index.from_postings(term_frequencies(docs, stopwords), min_df)
 
 
-def token_postings(docs: DataFrame) -> DataFrame:
-    """Postings of (doc_id, tokens), taking the tokens as they are."""
-    return (
-        docs.select(F.explode("tokens").alias("term"), "doc_id")
-        .groupBy("term", "doc_id").agg(F.count("*").alias("tf"))
-    )
-
-
 def index_from_tokens(docs: DataFrame, min_df: int = 0) -> Index:
     """Index of (doc_id, tokens)."""
-    return Index.from_postings(token_postings(docs), min_df)
+    return Index.from_postings(count_tokens(docs), min_df)
 
 
 def add_documents(index: Index, docs: DataFrame) -> Index:
@@ -195,7 +202,7 @@ def add_documents(index: Index, docs: DataFrame) -> Index:
     postings again. Document statistics are retaken, as a term that crosses the
     threshold also changes old documents.
     """
-    new = token_postings(docs)
+    new = count_tokens(docs)
     postings = index.postings.select("term", "doc_id", "tf").unionByName(new)
     stats = (
         index.term_stats.unionByName(term_statistics(new))
@@ -238,8 +245,11 @@ def explode_anchors(corpus: DataFrame) -> DataFrame:
 def anchor_documents(corpus: DataFrame, stopwords=None) -> DataFrame:
     """Postings of the text of all links that point at a document.
 
-    Each link is tokenised by itself and counted before the shuffle, so a page
-    that draws a third of all links needs no joined text.
+    Each link is tokenised by itself and counts are summed before and after the
+    shuffle, so a page that draws a third of all links needs no joined text.
     """
     links = explode_anchors(corpus).select(F.col("dst").alias("doc_id"), "text")
-    return term_frequencies(links, stopwords)
+    return (
+        term_occurrences(links, stopwords)
+        .groupBy("term", "doc_id").agg(F.count("*").alias("tf"))
+    )
