@@ -61,6 +61,6 @@ def rank_all_per_query(hits: DataFrame, cuts: list) -> DataFrame:
     return (
         hits.withColumn("place", F.row_number().over(inside))
         .join(offsets, group)
-        .select("query_id", (F.col("offset") + F.col("place")).cast("int").alias("rank"),
+        .select("query_id", (F.col("offset") + F.col("place")).alias("rank"),
                 "doc_id", "score", "first_word")
     )

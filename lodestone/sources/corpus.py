@@ -21,11 +21,13 @@ def read_corpus(spark: SparkSession, paths, exclude=()) -> DataFrame:
     corpus = (
         spark.read.schema(CORPUS).option("recursiveFileLookup", "true").parquet(*paths)
     )
+    # A file's path may name scheme and host where the given folder does not.
+    scheme = "^(?:[^:/]+:(?:/*?|//[^/]+))?"
     for path in paths:
         root = re.escape(re.sub(r"^[a-z0-9]+:/*", "/", path).rstrip("/"))
         for glob in exclude:
             name = fnmatch.translate(glob)
-            corpus = corpus.where(~F.col("_metadata.file_path").rlike(f"{root}/{name}"))
+            corpus = corpus.where(~F.col("_metadata.file_path").rlike(f"{scheme}{root}/{name}"))
     return corpus
 
 

@@ -88,11 +88,23 @@ def write_rank_csv(spark, sf):
     return _rounded(io.read_rank_csv(spark, path), "pagerank")
 
 
+REGISTRY["read_rank_csv"] = write_rank_csv
+
+
+def _stored_views(spark, sf):
+    work = Workspace(spark, sf)
+    return work.folder("views", lambda p: io.write_pageviews(work.pageviews, p))
+
+
 @query
 def write_pageviews(spark, sf):
-    work = Workspace(spark, sf)
-    path = work.folder("views", lambda p: io.write_pageviews(work.pageviews, p))
-    return io.read_pageviews(spark, path)
+    return io.read_pageviews(spark, _stored_views(spark, sf))
+
+
+@query
+def read_pageviews(spark, sf):
+    views = io.read_pageviews(spark, _stored_views(spark, sf))
+    return views.agg(F.count("*").alias("articles"), F.sum("views").alias("views"))
 
 
 @query
@@ -108,6 +120,11 @@ def write_index(spark, sf):
     return Workspace(spark, sf).body.retained.select("term", "doc_id", "tf")
 
 
+@query
+def read_index(spark, sf):
+    return Workspace(spark, sf).title.doc_stats
+
+
 def _statistics(index):
     terms = index.terms.select(
         F.lit("term").alias("kind"), F.col("term").alias("name"),
@@ -228,6 +245,13 @@ def _is_question(spark, sf):
 REGISTRY["is_question"] = _is_question
 
 
+def _is_short_query(spark, sf):
+    return fx.queries(spark, sf).where(is_short_query("query"))
+
+
+REGISTRY["is_short_query"] = _is_short_query
+
+
 @query
 def query_nonempty(spark, sf):
     return qs.query_nonempty(fx.queries(spark, sf))

@@ -170,7 +170,8 @@ class Workspace:
 
     @property
     def avgdl(self):
-        return avg_doc_length(self.body, self.title, self.anchor, self.n).scalar()
+        return self._frame("avgdl", lambda: avg_doc_length(
+            self.body, self.title, self.anchor, self.n)).scalar()
 
     @property
     def indexes(self) -> Indexes:

@@ -273,7 +273,7 @@ def _result(source: str, where: str = "") -> str:
 
 def _ranked(hits: str) -> str:
     return (f"SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, "
-            f"first_word, doc_id))::INTEGER AS rank, doc_id, title, score "
+            f"first_word, doc_id)) AS rank, doc_id, title, score "
             f"FROM {hits} JOIN titles USING (doc_id)")
 
 
@@ -306,6 +306,11 @@ def oracle_sql() -> dict[str, str]:
         "project_field": c("SELECT doc_id, title FROM titles", "titles"),
         "read_pageview_dump": c("SELECT line AS value, count(*) AS n FROM dump_lines GROUP BY line", "dump_lines"),
         "write_rank_csv": c("SELECT id AS doc_id, round(pagerank, 6) AS pagerank FROM link_pagerank", "link_pagerank"),
+        "read_rank_csv": c("SELECT id AS doc_id, round(pagerank, 6) AS pagerank FROM link_pagerank", "link_pagerank"),
+        "read_pageviews": c("SELECT count(*) AS articles, sum(views)::BIGINT AS views FROM pageviews", "pageviews"),
+        "read_index": c("SELECT doc_id, dl, nf FROM title_docs", "title_docs"),
+        "is_short_query": c("SELECT query_id, query FROM queries WHERE length(query) < 4 AND "
+                            "query NOT LIKE '%?'", "queries"),
         "write_pageviews": c("SELECT doc_id, views FROM pageviews", "pageviews"),
         "read_qrels": c("SELECT DISTINCT query, doc_id FROM qrels JOIN queries USING (query_id)", "qrels", "queries"),
         "write_index": c(body_rows, "body"),
