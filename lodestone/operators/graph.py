@@ -38,10 +38,12 @@ def partition_graph(edges: DataFrame, n: int = 124) -> DataFrame:
     return edges.repartition(n, "src")
 
 
-def pagerank(edges: DataFrame, vertices: DataFrame, reset=0.15, iters=6, partitions=None,
-             heavy_degree=1_000_000, checkpoint_every=3) -> DataFrame:
+def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset=0.15, iters=6,
+             partitions=None, heavy_degree=1_000_000, checkpoint_every=3) -> DataFrame:
     """(id, pagerank) after a fixed number of iterations.
 
+    Without ``vertices`` the vertices are the ends of the edges.
+
     Ranks start at 1; each round sets r = reset + (1 - reset) * sum of the
     in-neighbours' r / out-degree. Pages without links pass nothing on. At the
     end ranks are scaled to sum to the number of vertices.
@@ -59,6 +61,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame, reset=0.15, iters=6, partiti
     store = StorageLevel.MEMORY_AND_DISK
 
     edges = edges.select("src", "dst").checkpoint()
+    vertices = edge_vertices(edges) if vertices is None else vertices
     degrees = edges.groupBy("src").agg(F.count("*").alias("degree"))
     state = (
         vertices.select("id")

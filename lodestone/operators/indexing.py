@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.stopwords import index_stopwords
 from ..functions.text import bucket_of, term_bucket, tokenize
 from ..plans.layout import cluster_by_bucket
+from ..plans.skew import salted_join
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,8 @@ class Index:
     @property
     def retained(self) -> DataFrame:
         """Postings of the terms above the threshold."""
-        return retained_postings(self.postings, self.term_stats, self.min_df)
+        return retained_postings(
+            self.postings, self.term_stats, self.min_df, self.n_buckets is not None)
 
 
 def term_occurrences(docs: DataFrame, stopwords=None) -> DataFrame:
@@ -122,17 +124,20 @@ def raw_doc_length(docs: DataFrame) -> DataFrame:
     )
 
 
-def retained_postings(postings: DataFrame, term_stats: DataFrame, min_df: int) -> DataFrame:
+def retained_postings(postings: DataFrame, term_stats: DataFrame, min_df: int,
+                      stored: bool = False) -> DataFrame:
     """Postings of terms in more than ``min_df`` documents.
 
-    ``term_stats`` is broadcast only if its written size is under Spark's
-    threshold; beyond that the join shuffles and adaptive execution splits the
-    partitions of very frequent terms.
+    ``stored`` says that ``term_stats`` is a table on disk: Spark broadcasts it if
+    its size allows, and otherwise splits skewed partitions of a plain join.
+    Statistics derived in the same plan are joined with salted terms.
     """
     if min_df <= 0:
         return postings
     frequent = term_stats.where(F.col("df") > min_df).select("term")
-    return postings.join(frequent, "term", "left_semi")
+    if stored:
+        return postings.join(frequent, "term", "left_semi")
+    return salted_join(postings, frequent, ["term"], "doc_id", "left_semi")
 
 
 def prune_rare_terms(postings: DataFrame, min_df: int = 50) -> DataFrame:

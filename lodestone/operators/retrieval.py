@@ -18,6 +18,7 @@ from ..functions.scoring import (
 from ..functions.text import term_bucket
 from ..plans.ranking import doc_cuts, rank_all_per_query, top_k_per_query
 from ..plans.sizing import QueryBatch
+from ..plans.skew import salted_join
 from .indexing import Index, title_lookup
 from .queries import query_term_counts
 
@@ -29,12 +30,15 @@ def matching_postings(batch: QueryBatch, terms: DataFrame, index: Index) -> Data
 
     ``terms`` is (query_id, term, ...). It meets the term statistics first, which
     drops unknown and rare terms; what is left picks bucket folders and postings.
+    A batch too large to broadcast is joined with salted terms.
     """
     keys = ["term"]
     if index.n_buckets:
         terms = terms.withColumn("bucket", term_bucket("term", index.n_buckets))
         keys = ["bucket", "term"]
     known = index.terms.select("term", "df").join(batch.broadcast_terms(terms), "term")
+    if not batch.terms_fit:
+        return salted_join(index.postings, known, keys, "doc_id")
     return index.postings.join(batch.broadcast_terms(known), keys)
 
 

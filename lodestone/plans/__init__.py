@@ -1,10 +1,11 @@
 from .layout import cluster_by_bucket
 from .ranking import doc_cuts, rank_all_per_query, top_k_per_query
 from .runtime import checkpoint_dir, scratch_path
+from .skew import salted_join
 from .sizing import QueryBatch, broadcast_if_bounded, spread_scan
 
 __all__ = [
     "cluster_by_bucket", "doc_cuts", "rank_all_per_query", "top_k_per_query",
-    "checkpoint_dir", "scratch_path", "QueryBatch", "broadcast_if_bounded",
+    "salted_join", "checkpoint_dir", "scratch_path", "QueryBatch", "broadcast_if_bounded",
     "spread_scan",
 ]

@@ -20,7 +20,7 @@ def save_global_stats(index: Index, path: str) -> None:
     index.term_stats.write.mode("overwrite").parquet(f"{path}/term_stats")
     # Read back: the size of the written table decides how it is joined.
     term_stats = spark.read.schema(TERM_STATS).parquet(f"{path}/term_stats")
-    retained = retained_postings(index.postings, term_stats, index.min_df)
+    retained = retained_postings(index.postings, term_stats, index.min_df, stored=True)
     document_statistics(retained).write.mode("overwrite").parquet(f"{path}/doc_stats")
     settings = spark.range(1).select(
         F.lit(index.min_df).cast("bigint").alias("min_df"),

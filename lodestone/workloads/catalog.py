@@ -484,8 +484,7 @@ def pagerank_10(spark, sf):
 
 @query
 def pagerank_purchases(spark, sf):
-    edges = fx.purchase_graph(spark, sf)
-    return _rounded(gr.pagerank(edges, gr.edge_vertices(edges)), "pagerank")
+    return _rounded(gr.pagerank(fx.purchase_graph(spark, sf)), "pagerank")
 
 
 @query

@@ -35,8 +35,10 @@ def frames(spark, edges):
 
 @pytest.mark.parametrize("heavy_degree", [1_000_000, 1])
 def test_known_ranks(spark, heavy_degree):
-    found = ranks(graph.pagerank(*frames(spark, EDGES), heavy_degree=heavy_degree))
+    edges, vertices = frames(spark, EDGES)
+    found = ranks(graph.pagerank(edges, vertices, heavy_degree=heavy_degree))
     assert found == pytest.approx(RANKS, abs=1e-6)
+    assert ranks(graph.pagerank(edges, heavy_degree=heavy_degree)) == pytest.approx(found)
     assert sum(found.values()) == pytest.approx(5)
 
 

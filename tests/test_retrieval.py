@@ -137,3 +137,33 @@ def test_prior_factors(spark):
     df = hybrid.prior_boost(spark.createDataFrame(rows, "pagerank double, views bigint"))
     assert [(r.pr, r.pv) for r in df.collect()] == [
         (1.0, 2.0), (0.3, 2.0), (1.0, 1.0), (0.0, 1.0), (1.0, 1.0), (3.0, 10.0), (1.0, 10.0)]
+
+
+def test_hot_term_is_split_in_a_shuffled_join(spark):
+    """A term with 80 % of the postings, met by a batch too large to broadcast."""
+    postings = spark.range(200_000).select(
+        F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.concat(F.lit("term"), "id")).alias("term"),
+        F.col("id").alias("doc_id"), F.lit(1).cast("bigint").alias("tf")).repartition(8)
+    index = indexing.Index.from_postings(postings, 1)
+    batch = QueryBatch(spark.createDataFrame(
+        [(1, "hot term9"), (2, "term19 cold")], "query_id bigint, query string"), max_rows=1)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for found in (
+            retrieval.matching_postings(batch, retrieval.query_words(batch), index),
+            index.retained,
+            indexing.prune_rare_terms(postings, 1),
+        ):
+            sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 160_000
+            assert len(sizes) > 4 and max(sizes) < 80_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
