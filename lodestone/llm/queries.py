@@ -2,11 +2,28 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import chat_digests
+from .classifier import score_quality
+from .licenses import scan_licenses
 from .near_dedup import near_duplicates
 from .packing import pack
 from .quality_rules import quality_rules
 from .shards import assign_shards
+from .substring_dedup import repeated_digests
 from .tables import table
+from .toxicity import score_toxicity
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_digests(table(spark, sf_dir, "documents"))
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_digests(table(spark, sf_dir, "conversations"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,20 +34,64 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op3_chat_formatting": op3_chat_formatting,
+    "op4_license_scan": op4_license_scan,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_sharding": op6_sharding,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_packing": op8_packing,
+    "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 
+# Conversation -1 is the probe; a control string in a text takes two more characters, as does
+# a backslash one. Turns are valid if each role may follow the one before it.
+CHAT_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+said AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER w AS n, coalesce(lag(coalesce(role, '')) OVER w, '') AS before
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)),
+sized AS (
+  SELECT *, CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15 WHEN 'assistant' THEN 11 WHEN 'tool' THEN 15
+      ELSE 23 + length(role) + length(role) - length(replace(role, '\', ''))
+        + 2 * len(regexp_extract_all(role, '<s>|</s>|\[(?:OUT|/?(?:SYS|INST|TOOL|ROLE)|/TURN)\]')) END
+    + length(text) + length(text) - length(replace(text, '\', ''))
+    + 2 * len(regexp_extract_all(text, '<s>|</s>|\[(?:OUT|/?(?:SYS|INST|TOOL|ROLE)|/TURN)\]')) AS chars,
+    CASE before WHEN '' THEN role IN ('system', 'user') WHEN 'system' THEN role = 'user'
+      WHEN 'user' THEN role = 'assistant' WHEN 'assistant' THEN role IN ('user', 'tool')
+      WHEN 'tool' THEN role = 'assistant' ELSE false END AS allowed
+  FROM said)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (3 + sum(chars))::BIGINT AS formatted_chars,
+  bool_and(allowed) AND last(role ORDER BY n) = 'assistant' AS valid
+FROM sized GROUP BY conv_id
+"""
+
 SQL = {
+    "op3_chat_formatting": CHAT_SQL,
 }
