@@ -7,9 +7,11 @@ make bands; documents with an equal band share a bucket.
 
 Documents with equal sets are one class, so copies cost nothing further. Each bucket
 offers star-shaped edges, from its smallest class to the others, and these are confirmed
-on the full sets. Where a bucket's classes are not all linked then, further classes
-become centres, twice as many each round, against classes of other components only, till
-every pair in question is confirmed or settled. So no link is lost to the star shape.
+on the full sets. Members of a centre's buckets that remain in different components could
+still be linked with each other: they are compared exactly in the centre's group, by the
+few shingles in which each differs from the centre, in blocks of bounded size, and only
+links that join components leave the group. So no link within a bucket is lost to the
+star shape, and no pair becomes a row before it is confirmed.
 
 Null or empty texts have an empty set and are linked with nothing. Texts with fewer words
 than a shingle have their whole sequence as the one element. A document id is one vertex:
@@ -19,8 +21,9 @@ rows that repeat it share a component. A row without id is linked with nothing a
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import components, in_arrow, stored
@@ -36,6 +39,7 @@ class NearDedup:
     bands: int = 32
     rows: int = 5
     fold_case: bool = True
+    block: int = 1000
 
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -125,22 +129,83 @@ def _sets(batches, how: NearDedup):
             ], ["cls", "shingles"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, how: NearDedup) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with their set sizes, the size of the overlap, and what only one has."""
     left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("set_b"))
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    both = F.size("set_a") + F.size("set_b") - shared
     return (
         pairs.join(left, "a").join(right, "b")
-        .where(F.lit(100) * shared >= F.lit(how.percent) * both)
-        .select("a", "b")
+        .select("a", "b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"),
+                F.concat(F.array_except("set_a", "set_b"), F.array_except("set_b", "set_a")).alias("odd"))
     )
 
 
-def _comparable(how: NearDedup, n_a, n_b):
-    """Sets whose sizes differ more cannot be similar enough."""
-    return F.lit(100) * F.least(n_a, n_b) >= F.lit(how.percent) * F.greatest(n_a, n_b)
+def _similar(n_a, n_b, odd, percent: int):
+    """100 * shared >= percent * either, from the sizes and the number of odd shingles."""
+    return 100 * (n_a + n_b - odd) >= percent * (n_a + n_b + odd)
+
+
+def _leftover_links(key, rows, how: NearDedup):
+    """Links between members of different components of one centre's group (or two blocks of it).
+
+    Two members differ in the shingles in which just one of them differs from the centre, so
+    the shingles odd to the centre give their exact similarity. As many links are returned
+    as join components, fewer than members.
+    """
+    _, low, high = key
+    rows = rows.sort_values("b").reset_index(drop=True)
+    root, n = rows["root"].to_numpy(), rows["n_b"].to_numpy().astype(np.int64)
+    sizes = rows["odd"].map(len).to_numpy()
+    items, owner = np.concatenate(rows["odd"].to_list()), np.repeat(np.arange(len(rows)), sizes)
+    codes, inverse, counts = np.unique(items, return_inverse=True, return_counts=True)
+    column = np.cumsum(counts > 1) - 1
+    often = counts[inverse] > 1
+    owner, at = owner[often], column[inverse[often]]
+    shared = np.zeros((len(rows), len(rows)), np.float32)
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    for first in range(0, int((counts > 1).sum()), 4096):
+        a, b = np.searchsorted(at, [first, first + 4096])
+        block = np.zeros((len(rows), 4096), np.float32)
+        block[owner[a:b], at[a:b] - first] = 1
+        shared += block @ block.T
+    odd = sizes[:, None] + sizes[None, :] - 2 * np.rint(shared).astype(np.int64)
+    found = _similar(n[:, None], n[None, :], odd, how.percent) & (root[:, None] != root[None, :])
+    block = rows["block"].to_numpy()
+    if low != high:
+        found &= block[:, None] != block[None, :]
+    parent = {int(r): int(r) for r in root}
+
+    def top(r):
+        while parent[r] != r:
+            parent[r] = r = parent[parent[r]]
+        return r
+
+    ids, out = rows["b"].to_numpy(), []
+    for i, j in zip(*np.nonzero(np.triu(found, 1))):
+        x, y = top(int(root[i])), top(int(root[j]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((ids[i], ids[j]))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def leftover_links(compared: DataFrame, roots: DataFrame, how: NearDedup) -> DataFrame:
+    """Links that the star edges leave out, for groups whose members lie in several components."""
+    placed = compared.join(roots, compared["b"] == roots["id"], "left").select(
+        "a", "b", "n_b", "odd", F.coalesce("root", "b").alias("root"))
+    groups = (
+        placed.groupBy("a")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
+        .where("low < high")
+        .select("a", F.ceil(F.col("members") / how.block).cast("int").alias("blocks"))
+    )
+    rows = placed.join(groups, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("a", F.least("block", "other").alias("lower"), F.greatest("block", "other").alias("upper"),
+                       "block", "b", "n_b", "odd", "root")
+    return rows.groupBy("a", "lower", "upper").applyInPandas(
+        lambda key, part: _leftover_links(key, part, how), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, how: NearDedup | None = None) -> DataFrame:
@@ -155,58 +220,21 @@ def near_duplicates(docs: DataFrame, how: NearDedup | None = None) -> DataFrame:
     classes = stored(
         found.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key)
         .agg(F.min("doc_id").alias("cls"), F.first("bands").alias("bands")), "classes")
-    banded = classes.select("cls", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    banded = classes.select("cls", F.explode("bands").alias("bucket"))
     starts = (
-        banded.groupBy("bucket")
-        .agg(F.min(F.struct("cls", "n")).alias("least"), F.max("cls").alias("most"))
-        .where(F.col("least.cls") < F.col("most")).select("bucket", "least")
+        banded.groupBy("bucket").agg(F.min("cls").alias("a"), F.max("cls").alias("most"))
+        .where("a < most").select("bucket", "a")
     )
-    members = stored(banded.join(starts, "bucket"), "members")
-
-    pairs = stored(
-        members.where(F.col("cls") > F.col("least.cls"))
-        .select(F.col("least.cls").alias("a"), F.col("least.n").alias("n_a"), F.col("cls").alias("b"), "n")
-        .where(_comparable(how, F.col("n_a"), F.col("n"))).select("a", "b").distinct(), "pairs")
-    asked = pairs
-    wanted = members.select("cls").distinct()
+    pairs = stored(banded.join(starts, "bucket").where("cls > a")
+                   .select("a", F.col("cls").alias("b")).distinct(), "pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     texts = rows.join(wanted, rows["doc_id"] == wanted["cls"]).select("cls", "text")
     sets = stored(in_arrow(texts, lambda batches: _sets(batches, how), "cls long, shingles array<long>"), "sets")
-    links = stored(_confirmed(pairs, sets, how), "links")
-
-    # Buckets with classes of several components: further centres, against other components only.
-    rest = members.where(F.col("cls") > F.col("least.cls")).select("bucket", "cls", "n")
-    centres, roots = 1, stored(components(links), "roots")
-    while True:
-        placed = (
-            rest.join(roots, rest["cls"] == roots["id"], "left")
-            .select("bucket", "cls", "n", F.coalesce("root", "cls").alias("root"))
-        )
-        mixed = (
-            placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-            .where("low < high").select("bucket")
-        )
-        rest_now = stored(placed.join(mixed, "bucket"), "mixed")
-        if rest_now.isEmpty():
-            break
-        order = Window.partitionBy("bucket").orderBy("cls")
-        ranked = rest_now.withColumn("place", F.row_number().over(order))
-        heads = ranked.where(F.col("place") <= centres).select(
-            "bucket", F.col("cls").alias("c"), F.col("n").alias("n_c"), F.col("root").alias("root_c"),
-            F.col("place").alias("place_c"))
-        pairs = (
-            ranked.join(heads, "bucket")
-            .where((F.col("place") > F.col("place_c")) & (F.col("root") != F.col("root_c")))
-            .where(_comparable(how, F.col("n"), F.col("n_c")))
-            .select(F.col("c").alias("a"), F.col("cls").alias("b")).distinct()
-        )
-        pairs = stored(pairs.join(asked, ["a", "b"], "left_anti"), "pairs")
-        asked = asked.unionByName(pairs)
-        more = stored(_confirmed(pairs, sets, how), "links")
-        rest = stored(ranked.where(F.col("place") > centres).select("bucket", "cls", "n"), "rest")
-        centres *= 2
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = stored(components(links), "roots")
+    compared = stored(_compared(pairs, sets), "compared")
+    near = _similar(F.col("n_a"), F.col("n_b"), F.size("odd"), how.percent)
+    links = stored(compared.where(near).select("a", "b"), "links")
+    more = stored(leftover_links(compared, stored(components(links), "roots"), how), "links")
+    roots = stored(components(links.unionByName(more)), "roots")
 
     placed = classes.select(*key, "cls").join(roots, classes["cls"] == roots["id"], "left")
     placed = placed.select(*[F.col(k).alias(f"{k}_") for k in key], F.coalesce("root", "cls").alias("found"))
