@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans import broadcast_if_bounded
 from .tables import components, in_arrow, stored
 from .words import AS_IS, LOWER, Words, gram_codes, mix, slices, strings
 
@@ -246,3 +247,21 @@ def near_duplicates(docs: DataFrame, how: NearDedup | None = None) -> DataFrame:
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+
+
+def representatives(docs: DataFrame, how: NearDedup | None = None) -> DataFrame:
+    """One row of each group of near copies (smallest doc_id), with all columns of ``docs``.
+
+    Rows that repeat a doc_id are one vertex; the first by text stays. Rows without id or
+    without a word stay.
+    """
+    found = near_duplicates(docs, how)
+    gone = stored(found.where("doc_id IS NOT NULL AND NOT kept").select("doc_id").distinct(), "gone")
+    again = stored(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+                   .select("doc_id"), "again")
+    kept = docs.join(broadcast_if_bounded(gone, gone.count()), "doc_id", "left_anti")
+    once = broadcast_if_bounded(again, again.count())
+    columns = ["text", *(c for c in docs.columns if c not in ("doc_id", "text"))]
+    repeated = kept.join(once, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("_row"))
+    return kept.join(once, "doc_id", "left_anti").select(*docs.columns).unionByName(
+        repeated.select("doc_id", "_row.*").select(*docs.columns))

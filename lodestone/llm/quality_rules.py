@@ -64,6 +64,9 @@ SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lin
           "n_repeat_words long, base_failed boolean, kept boolean, script string, n_tokens long, "
           "chars_per_token double, byte_share double, token_entropy double, top_share double")
 
+OUT = pa.schema([(name, {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}.get(kind, pa.string()))
+                 for name, kind in (column.split() for column in SCHEMA.split(", "))])
+
 
 @lru_cache(2)
 def _load(pieces: str, units: str):
@@ -167,12 +170,24 @@ def judge(batches, rules: QualityRules):
                     and n_bytes <= band.byte_share and entropy >= band.entropy and top <= band.top_share)
                 out.append((n, int(chars[k]), int(symbols[k]), duplicate_lines(text), repeated, bool(failed),
                             bool(not failed and good), script, total, fit, n_bytes, entropy, top))
-            names = [x.split()[0] for x in SCHEMA.split(", ")]
-            yield pa.RecordBatch.from_arrays(
-                [strings(part.column("doc_id")).cast(pa.int64()), *[pa.array(list(x)) for x in zip(*out)]], names)
+            columns = [strings(part.column("doc_id")).cast(pa.int64())]
+            columns += [pa.array(list(x), t) for x, t in zip(zip(*out), OUT.types[1:])]
+            yield pa.RecordBatch.from_arrays(columns, schema=OUT)
 
 
 def quality_rules(docs: DataFrame, rules: QualityRules | None = None) -> DataFrame:
     """One row per document: counts, token measures, ``base_failed`` and ``kept``."""
     rules = rules or QualityRules()
     return in_arrow(docs.select("doc_id", "text"), lambda batches: judge(batches, rules), SCHEMA)
+
+
+def _passing(batches, rules: QualityRules):
+    for batch in batches:
+        verdicts = pa.Table.from_batches(list(judge([batch], rules)), OUT).column("kept")
+        yield batch.filter(strings(verdicts))
+
+
+def passing(docs: DataFrame, rules: QualityRules | None = None) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns."""
+    rules = rules or QualityRules()
+    return in_arrow(docs, lambda batches: _passing(batches, rules), docs.schema)

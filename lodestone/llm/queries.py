@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import chat_digests
 from .classifier import score_quality
+from .decontaminate import contaminated
 from .licenses import scan_licenses
 from .near_dedup import near_duplicates
 from .packing import pack
@@ -18,6 +19,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_digests(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(table(spark, sf_dir, "conversations"))
 
@@ -52,6 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_decontamination": op2_decontamination,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_license_scan": op4_license_scan,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
@@ -92,6 +98,53 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+REPEATS_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i AS start, array_to_string(words[i:i + 19], ' ') AS run
+  FROM docs, LATERAL (SELECT unnest(range(1, greatest(len(words) - 18, 1))) AS i)),
+later AS (
+  SELECT doc_id, start FROM (
+    SELECT doc_id, start, row_number() OVER (PARTITION BY run ORDER BY doc_id, start) AS n FROM windows)
+  WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, start + unnest(range(0, 20)) AS place FROM later),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM docs),
+kept AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.place) AS text, count(*) AS n
+  FROM placed p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place GROUP BY p.doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+NEAR_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS shingle
+  FROM docs, LATERAL (SELECT unnest(range(1, greatest(len(words) - 1, 2))) AS i) WHERE len(words) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM shared s JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * s.n >= 85 * (x.n + y.n - s.n)),
+reached(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM docs
+  UNION
+  SELECT e.b, r.root FROM reached r JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) e
+    ON r.doc_id = e.a)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, min(root) AS component_id,
+  d.doc_id = min(root) AS kept
+FROM docs d JOIN reached r ON d.doc_id = r.doc_id LEFT JOIN sizes s ON d.doc_id = s.doc_id
+GROUP BY d.doc_id, s.n
+"""
+
 SQL = {
+    "op1_substring_dedup": REPEATS_SQL,
     "op3_chat_formatting": CHAT_SQL,
+    "op5_minhash_near_dedup": NEAR_SQL,
 }
