@@ -8,8 +8,8 @@ mostly share one, so a text has few. The work is in steps, all joined by Spark:
 2. the stretches of text around recurring anchors (segments, the windows of one anchor) are
    gathered by anchor, equal ones pre-aggregated;
 3. an anchor's segments hold all occurrences of its windows. Windows that occur twice or more
-   are the confirmed phrases; they are compiled into automata, sharded by anchor and bounded
-   in size, which run over the segments and locate every occurrence;
+   are confirmed; runs of them, the recurring passages, are compiled into automata, sharded by
+   anchor and bounded in size, which run over the segments and locate every occurrence;
 4. occurrences other than a phrase's first (smallest doc_id, then start) mark words to remove.
 
 Anchors with more occurrences than ``hot`` are routed by single windows instead, so no
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..plans import broadcast_if_bounded
 from .tables import in_arrow, stored
-from .words import Words, gram_codes, mix, slices, strings
+from .words import Words, expand, gram_codes, mix, power_tables, slices, strings
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,7 @@ class SubstringDedup:
     anchor: int = 8
     hot: int = 20_000
     shard_segments: int = 20_000
+    slice_bytes: int = 1 << 22
 
 
 LAST = (1 << 63) - 1
@@ -97,36 +98,75 @@ def _anchors(batches, how: SubstringDedup, counted: bool):
                     ["did", "rid", "start", "windows", "code"])
 
 
-def _segments(batches, how: SubstringDedup, with_text: bool):
-    """Segments of candidate rows (did, rid, text, found) with a 128-bit key each."""
+def run_codes(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of the words first to last - 1 of each run."""
+    power, inverse = power_tables(len(hashes) + 1)
+    total = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * power[: len(hashes)], out=total[1:])
+    return mix((total[last] - total[first]) * inverse[first] + (last - first).astype(np.uint64))
+
+
+def found_segments(part: pa.RecordBatch, words: Words, how: SubstringDedup):
+    """(text, start, windows, code, hot) of the flagged anchors of each text, hot ones by window."""
+    found = part.column("found")
+    owner = np.repeat(np.arange(len(found)), pa.compute.list_value_length(found).to_numpy(zero_copy_only=False))
+    values = found.flatten()
+    start, windows, code, hot = (
+        values.field(k).to_numpy(zero_copy_only=False) for k in ("start", "windows", "code", "hot"))
+    times = np.where(hot, windows, 1).astype(np.int64)
+    row = np.repeat(np.arange(len(start)), times)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+    start = start[row].astype(np.int64) + step
+    windows = np.where(hot, 1, windows)[row].astype(np.int64)
+    first = words.first[owner[row]] + start
+    last = first + windows - 1 + how.window
+    key_a = run_codes(words.hash, first, last)
+    key_b = run_codes(mix(words.hash + np.uint64(0x5851F42D4C957F2D)), first, last)
+    code = np.where(hot[row], key_a.view(np.int64), code[row])
+    return owner[row], start, first, last, key_a.view(np.int64), key_b.view(np.int64), code
+
+
+SEGMENT = "key_a long, key_b long, code long, segment string, did long, start int, n long"
+PLACE = "key_a long, key_b long, did long, rid long, start int"
+
+
+def _segments(batches, how: SubstringDedup):
+    """Distinct segments of candidate rows, with their count and first place in the slice."""
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, most=how.slice_bytes):
             words = Words(strings(part.column("text")))
-            out = []
-            hashes, raw = words.hash, words.data.tobytes()
-            other = mix(hashes + np.uint64(0x5851F42D4C957F2D))
-            dids, rids = part.column("did").to_pylist(), part.column("rid").to_pylist()
-            for k, found in enumerate(part.column("found").to_pylist()):
-                base = int(words.first[k])
-                for seg in found:
-                    spans = [(seg["start"], seg["windows"], seg["code"])]
-                    if seg["hot"]:
-                        spans = [(seg["start"] + i, 1, None) for i in range(seg["windows"])]
-                    for start, windows, code in spans:
-                        a = base + start
-                        b = a + windows - 1 + how.window
-                        key_a, key_b = (int(gram_codes(h[a:b], b - a).view(np.int64)[0]) for h in (hashes, other))
-                        row = [key_a, key_b, dids[k], rids[k], start]
-                        if with_text:
-                            seg_text = b" ".join(
-                                raw[i:j] for i, j in zip(words.start[a:b].tolist(), words.end[a:b].tolist()))
-                            row += [key_a if code is None else code, seg_text.decode("utf-8", "replace")]
-                        out.append(row)
-            names = ["key_a", "key_b", "did", "rid", "start"] + ["code", "segment"] * with_text
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(x), t) for x, t in zip(zip(*out), types)], names)
+            owner, start, first, last, key_a, key_b, code = found_segments(part, words, how)
+            if not len(owner):
+                continue
+            did = part.column("did").to_numpy()[owner]
+            order = np.lexsort((start, did, key_b, key_a))
+            a, b = key_a[order], key_b[order]
+            new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+            head, n = order[new], np.diff(np.append(new, len(order)))
+            # All words parted by one space: a segment is then one stretch of bytes.
+            width = words.end - words.start + 1
+            at = np.concatenate([[0], np.cumsum(width)])
+            line = np.full(int(at[-1]), 0x20, np.uint8)
+            take = np.repeat(words.start - at[:-1], width - 1) + expand(np.arange(len(width)), at[:-1], width - 1)
+            line[expand(np.arange(len(width)), at[:-1], width - 1)] = words.data[take]
+            line = line.tobytes()
+            texts = [line[i:j] for i, j in zip(at[first[head]].tolist(), (at[last[head]] - 1).tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key_a[head]), pa.array(key_b[head]), pa.array(code[head]),
+                 pa.array(texts, pa.binary()).cast(pa.string()), pa.array(did[head]),
+                 pa.array(start[head].astype(np.int32)), pa.array(n)],
+                [x.split()[0] for x in SEGMENT.split(", ")])
+
+
+def _places(batches, how: SubstringDedup):
+    """Where the segments of candidate rows stand."""
+    for batch in batches:
+        for part in slices(batch):
+            owner, start, _, _, key_a, key_b, _ = found_segments(part, Words(strings(part.column("text"))), how)
+            take = pa.array(owner)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key_a), pa.array(key_b), part.column("did").take(take), part.column("rid").take(take),
+                 pa.array(start.astype(np.int32))], [x.split()[0] for x in PLACE.split(", ")])
 
 
 def _located(rows: list, how: SubstringDedup):
@@ -146,20 +186,29 @@ def _located(rows: list, how: SubstringDedup):
                     first[phrase] = place
             else:
                 count[phrase], first[phrase] = n, place
+    # A passage is a longest run of confirmed phrases; it carries the first place of each.
     automaton = ahocorasick.Automaton()
-    for phrase, n in count.items():
-        if n > 1:
-            automaton.add_word(phrase, first[phrase])
+    for text in coded:
+        places, begin = [], 0
+        for i in range(len(text) - how.window + 2):
+            phrase = text[i : i + how.window]
+            if count.get(phrase, 0) > 1:
+                places.append(first[phrase])
+            else:
+                if places:
+                    automaton.add_word(text[begin : i - 1 + how.window], places)
+                places, begin = [], i + 1
     if not len(automaton):
         return
     automaton.make_automaton()
     for row, text in zip(rows, coded):
         found = own = 0
-        for end, place in automaton.iter(text):
-            at = end - how.window + 1
-            found |= 1 << at
-            if place == (row["did"], row["start"] + at):
-                own |= 1 << at
+        for end, places in automaton.iter(text):
+            at = end + 2 - how.window - len(places)
+            for i, place in enumerate(places, at):
+                found |= 1 << i
+                if place == (row["did"], row["start"] + i):
+                    own |= 1 << i
         if found:
             yield row["key_a"], row["key_b"], found, own, row["did"], row["start"]
 
@@ -204,15 +253,13 @@ def repeated_marks(docs: DataFrame, how: SubstringDedup | None = None):
     few = broadcast_if_bounded(ids, flagged.count())
     candidates = stored(rows.join(few, ["did", "rid"], "left_semi").join(flagged, ["did", "rid"]), "candidates")
 
-    named = in_arrow(candidates, lambda b: _segments(b, how, True),
-                     "key_a long, key_b long, did long, rid long, start int, code long, segment string")
-    distinct = named.groupBy("code", "key_a", "key_b", "segment").agg(
-        F.min(F.struct("did", "start")).alias("first"), F.count("*").alias("n"))
+    distinct = in_arrow(candidates, lambda b: _segments(b, how), SEGMENT)
+    distinct = distinct.groupBy("code", "key_a", "key_b", "segment").agg(
+        F.min(F.struct("did", "start")).alias("first"), F.sum("n").alias("n"))
     distinct = distinct.select("code", "key_a", "key_b", "segment", "first.did", "first.start", "n")
     located = stored(in_arrow(
         distinct.repartition("code").sortWithinPartitions("code"), lambda b: _shards(b, how), LOCATED), "located")
-    places = in_arrow(candidates, lambda b: _segments(b, how, False),
-                      "key_a long, key_b long, did long, rid long, start int")
+    places = in_arrow(candidates, lambda b: _places(b, how), PLACE)
     first = (F.col("did") == F.col("first_did")) & (F.col("start") == F.col("first_start"))
     later = F.when(first, F.col("found").bitwiseAND(F.bitwise_not("own"))).otherwise(F.col("found"))
     marks = (

@@ -43,7 +43,7 @@ def _letters(fold: bytes) -> np.ndarray:
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _power_tables(n: int):
+def power_tables(n: int):
     """P^i and P^-i for i < n, modulo 2^64."""
     if len(_powers[0]) < n:
         n = max(n, BLOCK_BYTES + 4096)
@@ -109,7 +109,7 @@ class Words:
                 base = self.start[i]
                 j = max(i + 1, int(np.searchsorted(self.end, base + BLOCK_BYTES, "right")))
                 part = self.data[base : self.end[j - 1]]
-                power, inverse = _power_tables(len(part) + 1)
+                power, inverse = power_tables(len(part) + 1)
                 total = np.zeros(len(part) + 1, np.uint64)
                 np.cumsum(letters[part] * power[: len(part)], out=total[1:])
                 a, b = self.start[i:j] - base, self.end[i:j] - base
