@@ -228,7 +228,8 @@ def near_duplicates(docs: DataFrame, how: NearDedup | None = None) -> DataFrame:
     )
     pairs = stored(banded.join(starts, "bucket").where("cls > a")
                    .select("a", F.col("cls").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "wanted")
+    wanted = broadcast_if_bounded(wanted, wanted.count())
     texts = rows.join(wanted, rows["doc_id"] == wanted["cls"]).select("cls", "text")
     sets = stored(in_arrow(texts, lambda batches: _sets(batches, how), "cls long, shingles array<long>"), "sets")
     compared = stored(_compared(pairs, sets), "compared")
