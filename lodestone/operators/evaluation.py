@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_question, is_short_query, text_hash
 from ..plans.ranking import top_k_per_query
 from ..plans.sizing import QueryBatch
+from ..plans.skew import salted_join
 from ..schemas import PARAMETERS
 from .hybrid import Indexes, fusion_order, fusion_score, search
 
@@ -25,12 +26,13 @@ END_POINTS = {
 STARTS = [(90.0, 1350.0, 8.0, 4.5, 30.0), (80.0, 1250.0, 7.0, 4.0, 25.0),
           (100.0, 1450.0, 9.0, 5.0, 35.0)]
 
-MAX_PARAMETERS = 10_000
+# The kinds of queries that settings treat differently: (question, short).
+KINDS = [(False, False), (True, False), (False, True)]
 
 
 def _query_precision(results: DataFrame, qrels: DataFrame, keys, k: int) -> DataFrame:
     """(keys, ap) of the queries with at least one hit in their first k results."""
-    judged = qrels.select("query_id", "doc_id", F.lit(1).alias("hit")).distinct()
+    judged = qrels.select("query_id", "doc_id").distinct().withColumn("hit", F.lit(1))
     so_far = (
         Window.partitionBy(*keys).orderBy("rank")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -95,19 +97,22 @@ def parameter_starts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, PARAMETERS)
 
 
-def sweep_candidates(features: DataFrame, k: int, least_weight: float) -> DataFrame:
+def sweep_candidates(features: DataFrame, k: int, least_weight,
+                     queries: QueryBatch | None = None) -> DataFrame:
     """The feature rows that can be among a query's first k under some setting.
 
     Rows outside the BM25 list fall into classes by where they matched: within
-    one, all share the fused weight w >= ``least_weight`` > 0 and score
-    w * pr * pv. Two exact cuts follow. A row k of whose class have the same
-    priors and come earlier in the tie order never makes the list. Neither does
-    one whose pr * pv is so far below the class's k-th that scores differ by more
-    than their rounding. Priors closer than that stay, however many.
+    one, all share the fused weight w >= ``least_weight`` and score w * pr * pv.
+    Two exact cuts follow. A row k of whose class have the same priors and come
+    earlier in the tie order never makes the list. Neither, if ``least_weight``
+    (a number or a one-value column) is above 0, does one whose pr * pv is so far
+    below the class's k-th that scores differ by more than their rounding. Priors
+    closer than that stay, however many. The k-th priors, at most three rows a
+    query, are broadcast if the measured ``queries`` bound them and met with
+    salted keys otherwise, so no task holds the rows of one query.
     """
-    if least_weight <= 0:
-        return features
     kind = ["query_id", "in_title", "in_anchor"]
+    least = F.lit(least_weight) if isinstance(least_weight, (int, float)) else least_weight
     ranked = features.where(F.col("bm25_rank").isNotNull())
     others = features.where(F.col("bm25_rank").isNull()).withColumns({
         "in_title": F.col("title_words") > 0,
@@ -115,17 +120,39 @@ def sweep_candidates(features: DataFrame, k: int, least_weight: float) -> DataFr
         "prior": F.col("pr") * F.col("pv"),
     })
     same_score = top_k_per_query(others, k, fusion_order()[1:], [*kind, "pr", "pv"]).drop("rank")
+    margin = 2e-9 / F.when(least > 0, least)
     lowest = (
         top_k_per_query(others.select(*kind, "prior"), k, [F.desc("prior")], kind)
         .where(F.col("rank") == k)
-        .select(*kind, (F.col("prior") * (1 - 1e-9) - 2e-9 / least_weight).alias("lowest"))
+        .select(*kind, (F.col("prior") * (1 - 1e-9) - margin).alias("lowest"))
     )
-    kept = (
-        same_score.join(lowest, kind, "left")
-        .where(F.col("lowest").isNull() | (F.col("prior") >= F.col("lowest")))
-        .select(*features.columns)
+    if queries is not None and queries.rows * len(KINDS) <= queries.max_rows:
+        met = same_score.join(F.broadcast(lowest), kind, "left")
+    else:
+        met = salted_join(same_score, lowest, kind, "doc_id", "left")
+    kept = met.where(F.col("lowest").isNull() | (F.col("prior") >= F.col("lowest")))
+    return ranked.unionByName(kept.select(*features.columns))
+
+
+def effective_settings(params: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Settings as each kind of query sees them.
+
+    Returns the distinct (setting, question, short, x, y, k4, pr, pv), where
+    ``setting`` is the smallest param_id that looks so, and for every param_id
+    its settings (param_id, question, short, setting).
+    """
+    kinds = F.explode(F.array(*[
+        F.struct(F.lit(q).alias("question"), F.lit(s).alias("short")) for q, s in KINDS]))
+    seen = params.withColumn("kind", kinds).select(
+        F.col("param_id").cast("bigint").alias("param_id"), "kind.question", "kind.short",
+        F.when(F.col("kind.question"), F.col("k1")).otherwise(F.col("b")).alias("x"),
+        F.when(F.col("kind.short"), F.col("k5")).otherwise(F.col("k3")).alias("y"),
+        "k4", "pr", "pv",
     )
-    return ranked.unionByName(kept)
+    look = ["question", "short", "x", "y", "k4", "pr", "pv"]
+    distinct = seen.groupBy(*look).agg(F.min("param_id").alias("setting"))
+    same = seen.join(distinct, look).select("param_id", "question", "short", "setting")
+    return distinct, same
 
 
 def parameter_sweep(features: DataFrame, queries: DataFrame, qrels: DataFrame,
@@ -135,44 +162,39 @@ def parameter_sweep(features: DataFrame, queries: DataFrame, qrels: DataFrame,
     b weighs the BM25 rank, k1 that of questions, k3 a title hit, k5 that of
     short queries, k4 an anchor hit. pr and pv scale all scores alike and change
     no order. Features are computed once and cut to the rows that can matter
-    (``sweep_candidates``). Settings, at most ``MAX_PARAMETERS``, are applied
-    row by row inside each task, where all but the best k per query and setting
-    are dropped before the shuffle.
+    (``sweep_candidates``). Settings stay a table of any size: a query's rows meet
+    the distinct settings of its kind, which many settings share, through a
+    broadcast if their measured count allows and a salted join otherwise. That
+    product of candidates and distinct settings is the work of a sweep; all but
+    the best k per query and setting are dropped in the task, before the shuffle.
     """
-    settings = params.limit(MAX_PARAMETERS + 1).collect()
-    if len(settings) > MAX_PARAMETERS:
-        raise ValueError(f"at most {MAX_PARAMETERS} settings per sweep")
-    names = PARAMETERS.fieldNames()
-    points = F.array(*[
-        F.struct(*[F.lit(row[name]).alias(name) for name in names]) for row in settings
-    ])
-    least_weight = min(
-        (min(row["k3"], row["k4"], row["k5"]) * row["pr"] * row["pv"]
-         if min(row[name] for name in names[1:]) > 0 else 0.0 for row in settings),
-        default=0.0,
-    )
+    weights = [F.col(name) for name in PARAMETERS.fieldNames()[1:]]
+    least_weight = params.agg(F.coalesce(F.min(
+        F.when(F.least(*weights) > 0, F.least("k3", "k4", "k5") * F.col("pr") * F.col("pv"))
+        .otherwise(0.0)), F.lit(0.0))).scalar()
     batch = QueryBatch.of(queries)
     kinds = batch.queries.select(
         "query_id", is_question("query").alias("question"), is_short_query("query").alias("short")
     )
-    scored = (
-        sweep_candidates(features, k, least_weight)
-        .join(batch.broadcast_terms(kinds), "query_id")
-        .select("*", F.explode(points).alias("point"))
-        .withColumn("param_id", F.col("point.param_id"))
-        .withColumn("score", fusion_score(
-            F.when(F.col("question"), F.col("point.k1")).otherwise(F.col("point.b")),
-            F.when(F.col("short"), F.col("point.k5")).otherwise(F.col("point.k3")),
-            F.col("point.k4"), F.col("point.pr"), F.col("point.pv"),
-        ))
+    settings, same = effective_settings(params)
+    rows = sweep_candidates(features, k, least_weight, batch).join(
+        batch.broadcast_rows(kinds), "query_id")
+    points = settings.select("question", "short", "setting", "x", "y", "k4",
+                             F.col("pr").alias("pr_scale"), F.col("pv").alias("pv_scale"))
+    n = settings.count()
+    met = (
+        rows.join(F.broadcast(points), ["question", "short"])
+        if n <= batch.max_rows else salted_join(rows, points, ["question", "short"], "doc_id")
     )
-    keys = ["param_id", "query_id"]
+    scored = met.withColumn("score", fusion_score(
+        F.col("x"), F.col("y"), F.col("k4"), F.col("pr_scale"), F.col("pv_scale")))
+    kind = ["question", "short", "setting"]
+    keys = [*kind, "query_id"]
     top = top_k_per_query(scored, k, fusion_order(), keys).select(*keys, "doc_id", "rank")
-    totals = (
-        _query_precision(top, qrels, keys, k)
-        .groupBy("param_id").agg(F.sum("ap").alias("total_ap"))
-    )
-    return params.select("param_id").join(totals, "param_id", "left").select(
+    totals = _query_precision(top, qrels, keys, k).groupBy(*kind).agg(F.sum("ap").alias("ap"))
+    found = same.join(totals, kind).groupBy("param_id").agg(F.sum("ap").alias("total_ap"))
+    every = params.select(F.col("param_id").cast("bigint").alias("param_id"))
+    return every.join(found, "param_id", "left").select(
         "param_id", F.coalesce("total_ap", F.lit(0.0)).alias("total_ap")
     )
 

@@ -11,6 +11,9 @@ from ..plans.sizing import MAX_BROADCAST_ROWS
 from .indexing import explode_anchors
 
 
+EDGES_A_PARTITION = 5_000_000
+
+
 def link_edges(corpus: DataFrame) -> DataFrame:
     """Distinct (src, dst) of all links; self-links stay."""
     return explode_anchors(corpus).select("src", "dst").distinct()
@@ -44,7 +47,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset=0.15, it
 
     Without ``vertices`` the vertices are the ends of the edges.
 
-    Ranks start at 1; each round sets r = reset + (1 - reset) * sum of the
+    Partitions follow the number of edges if not given. Ranks start at 1; each round sets r = reset + (1 - reset) * sum of the
     in-neighbours' r / out-degree. Pages without links pass nothing on. At the
     end ranks are scaled to sum to the number of vertices.
 
@@ -57,10 +60,11 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset=0.15, it
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     store = StorageLevel.MEMORY_AND_DISK
 
     edges = edges.select("src", "dst").checkpoint()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions or max(least, ceil(edges.count() / EDGES_A_PARTITION))
     vertices = edge_vertices(edges) if vertices is None else vertices
     degrees = edges.groupBy("src").agg(F.count("*").alias("degree"))
     state = (

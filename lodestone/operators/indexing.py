@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.stopwords import index_stopwords
 from ..functions.text import bucket_of, term_bucket, tokenize
 from ..plans.layout import cluster_by_bucket
+from ..plans.runtime import stored_table
+from ..plans.sizing import MAX_BROADCAST_ROWS
 from ..plans.skew import salted_join
 
 
@@ -21,7 +23,8 @@ class Index:
 
     ``postings`` holds every term. The document-frequency threshold is applied
     through ``term_stats``, which every query joins anyway. ``n_buckets`` is set
-    if ``postings`` has the bucket column of a stored index.
+    if ``postings`` has the bucket column of a stored index, and ``documents``
+    (doc_id) if the index keeps the ids it holds.
     """
 
     postings: DataFrame
@@ -29,6 +32,14 @@ class Index:
     doc_stats: DataFrame
     min_df: int = 0
     n_buckets: int | None = None
+    documents: DataFrame | None = None
+
+    @property
+    def doc_ids(self) -> DataFrame:
+        """Ids of all documents with a posting."""
+        if self.documents is not None:
+            return self.documents
+        return self.postings.select("doc_id").distinct()
 
     @classmethod
     def from_postings(cls, postings: DataFrame, min_df: int = 0) -> "Index":
@@ -60,7 +71,7 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     """(term, doc_id, tf) of (doc_id, tokens), counted inside each row.
 
     Tokens are sorted and runs of equal ones measured, so counting needs no
-    shuffle. A doc_id is expected on one row only.
+    shuffle. A doc_id is expected on one row only (``require_unique``).
     """
     none = F.array()
     words = docs.select(
@@ -86,6 +97,22 @@ def term_frequencies(docs: DataFrame, stopwords=None) -> DataFrame:
         ~F.col("term").isin(words))
 
 
+def require_unique(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``docs`` itself, after a check that no doc_id stands on two rows or is in ``known``.
+
+    Only ids are read and shuffled. A second posting of one term and document would
+    count that document twice.
+    """
+    twice = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if known is not None:
+        twice = twice.unionByName(
+            docs.select("doc_id").join(known.select("doc_id"), "doc_id", "left_semi"))
+    bad = [row["doc_id"] for row in twice.limit(5).collect()]
+    if bad:
+        raise ValueError(f"documents that are there already or come twice: {bad}")
+    return docs
+
+
 def document_frequency(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count("*").alias("df"))
 
@@ -141,8 +168,17 @@ def retained_postings(postings: DataFrame, term_stats: DataFrame, min_df: int,
 
 
 def prune_rare_terms(postings: DataFrame, min_df: int = 50) -> DataFrame:
-    """Keep terms whose document frequency is strictly above ``min_df``."""
-    return retained_postings(postings, document_frequency(postings), min_df)
+    """Keep terms whose document frequency is strictly above ``min_df``.
+
+    Postings are stored once, in the scratch folder, and both the frequencies and the
+    result read that table: their documents are not tokenised twice.
+    """
+    postings = stored_table(postings, "postings")
+    frequent = stored_table(
+        document_frequency(postings).where(F.col("df") > min_df).select("term"), "frequent")
+    if frequent.count() <= MAX_BROADCAST_ROWS:
+        return postings.join(F.broadcast(frequent), "term", "left_semi")
+    return salted_join(postings, frequent, ["term"], "doc_id", "left_semi")
 
 
 def partition_postings(postings: DataFrame, n: int = 124) -> DataFrame:
@@ -172,8 +208,9 @@ def lookup_postings(index: Index, terms) -> DataFrame:
 
     With a Python list, bucket and term become literals: Spark prunes bucket
     folders while planning and row groups by the term's range. With a table
-    (column term), the bucket joins too, and a broadcast table prunes folders at
-    run time.
+    (column term), the bucket joins too: the terms are counted and, if few
+    enough, broadcast, which prunes folders at run time and leaves postings where
+    they are. More terms meet the postings with salted keys.
     """
     if not isinstance(terms, DataFrame):
         terms = sorted(set(terms))
@@ -187,27 +224,35 @@ def lookup_postings(index: Index, terms) -> DataFrame:
     if index.n_buckets:
         wanted = wanted.withColumn("bucket", term_bucket("term", index.n_buckets))
         keys = ["bucket", "term"]
-    return index.postings.join(wanted, keys, "left_semi").select("term", "doc_id", "tf")
+    wanted = stored_table(wanted, "wanted")
+    if wanted.count() <= MAX_BROADCAST_ROWS:
+        # Spark prunes folders at run time only by a side with a filter of its own.
+        few = wanted.where("bucket >= 0") if index.n_buckets else wanted
+        found = index.postings.join(F.broadcast(few), keys, "left_semi")
+    else:
+        found = salted_join(index.postings, wanted, keys, "doc_id", "left_semi")
+    return found.select("term", "doc_id", "tf")
 
 
 def build_index(docs: DataFrame, min_df: int = 50, stopwords=None) -> Index:
-    """Index of (doc_id, text)."""
-    return Index.from_postings(term_frequencies(docs, stopwords), min_df)
+    """Index of (doc_id, text), one row per document."""
+    return Index.from_postings(term_frequencies(require_unique(docs), stopwords), min_df)
 
 
 def index_from_tokens(docs: DataFrame, min_df: int = 0) -> Index:
-    """Index of (doc_id, tokens)."""
-    return Index.from_postings(count_tokens(docs), min_df)
+    """Index of (doc_id, tokens), one row per document."""
+    return Index.from_postings(count_tokens(require_unique(docs)), min_df)
 
 
 def add_documents(index: Index, docs: DataFrame) -> Index:
-    """The index with a batch of new (doc_id, tokens) added.
+    """The index with a batch of new (doc_id, tokens) added, as a plan.
 
     Term statistics are summed with those of the batch, without reading the old
     postings again. Document statistics are retaken, as a term that crosses the
-    threshold also changes old documents.
+    threshold also changes old documents; ``append_index`` adds to a stored index
+    without that. Ids that are in the index or come twice are refused.
     """
-    new = count_tokens(docs)
+    new = count_tokens(require_unique(docs, index.doc_ids))
     postings = index.postings.select("term", "doc_id", "tf").unionByName(new)
     stats = (
         index.term_stats.unionByName(term_statistics(new))

@@ -156,8 +156,7 @@ def search_anchor(queries, anchor_index: Index, titles: DataFrame, cuts=None) ->
     """
     hits = title_lookup(word_hits(queries, anchor_index), titles)
     cuts = doc_cuts(anchor_index.doc_stats) if cuts is None else cuts
-    ranked = rank_all_per_query(hits.drop("title"), cuts)
-    return title_lookup(ranked, titles).select(*RESULT)
+    return rank_all_per_query(hits, cuts).select(*RESULT)
 
 
 def get_pagerank(requests: DataFrame, pagerank: DataFrame) -> DataFrame:

@@ -7,24 +7,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_k_per_query(df: DataFrame, k: int, order, keys=("query_id",)) -> DataFrame:
+def top_k_per_query(df: DataFrame, k: int, order, keys=("query_id",), salts: int = 32) -> DataFrame:
     """The first k rows of each query under ``order``, with their 1-based rank.
 
-    Spark limits each task to k rows per query before the shuffle (for k up to
-    ``spark.sql.window.group.limit.threshold``), so a query that matches most of
-    the corpus ships only k rows per task.
+    Up to ``spark.sql.window.group.limit.threshold`` Spark limits each task to k rows
+    per query before the shuffle, so a query that matches most of the corpus ships
+    only k rows per task. Beyond it, rows are first dealt to ``salts`` groups a query by
+    their hash and each group is cut to k; the last step sees salts * k rows a query.
     """
+    spark = df.sparkSession
+    limit = int(spark.conf.get("spark.sql.window.group.limit.threshold", "1000"))
+    if k > limit:
+        dealt = df.withColumn("salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+        inside = Window.partitionBy(*keys, "salt").orderBy(*order)
+        df = dealt.withColumn("rank", F.row_number().over(inside)).where(F.col("rank") <= k)
+        df = df.drop("salt", "rank")
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
-def doc_cuts(docs: DataFrame, block_rows: int = 1_000_000, max_blocks: int = 4096) -> list:
+def doc_cuts(docs: DataFrame, block_rows: int = 1_000_000) -> list:
     """Document ids that cut ``docs`` (one row per doc_id) into blocks of about ``block_rows``.
 
-    Empty for small tables. At most ``max_blocks`` numbers reach the driver.
+    Empty for small tables. One number per block reaches the driver.
     """
-    rows = docs.count()
-    blocks = min(ceil(rows / block_rows), max_blocks) if rows else 1
+    blocks = ceil(docs.count() / block_rows)
     if blocks <= 1:
         return []
     points = [i / blocks for i in range(1, blocks)]
@@ -35,11 +42,12 @@ def doc_cuts(docs: DataFrame, block_rows: int = 1_000_000, max_blocks: int = 409
 def rank_all_per_query(hits: DataFrame, cuts: list) -> DataFrame:
     """Rank every hit of each query by score desc, first_word asc, doc_id asc.
 
-    ``hits`` is (query_id, doc_id, score, first_word) with one row per document.
+    ``hits`` is (query_id, doc_id, score, first_word, ...) with one row per document.
     Hits are numbered inside (query, score, word, document block); what precedes
     a block is a running total over block counts. A query matching a third of
     the corpus is thus ranked by many tasks, none holding more than one block.
     """
+    columns = [c for c in hits.columns if c != "query_id"]
     if cuts:
         splits = [float("-inf"), *cuts, float("inf")]
         hits = hits.withColumn("doc_pos", F.col("doc_id").cast("double"))
@@ -62,5 +70,5 @@ def rank_all_per_query(hits: DataFrame, cuts: list) -> DataFrame:
         hits.withColumn("place", F.row_number().over(inside))
         .join(offsets, group)
         .select("query_id", (F.col("offset") + F.col("place")).alias("rank"),
-                "doc_id", "score", "first_word")
+                *columns)
     )

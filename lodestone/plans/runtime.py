@@ -1,8 +1,9 @@
 """Where checkpoints and intermediate tables go."""
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -20,7 +21,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="lodestone-"))
     return sc.getCheckpointDir()
@@ -30,3 +31,16 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A folder for intermediate tables of this application, next to its checkpoints."""
     base = checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "tables", spark.sparkContext.applicationId, *parts])
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and the file system that holds it; the one place that reaches for Hadoop's API."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the scratch folder and read back, so that its plan is run once."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

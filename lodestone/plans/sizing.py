@@ -3,8 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import tokenize
+
 MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_CHARS = 64 * 1024 * 1024
 
 
 def broadcast_if_bounded(df: DataFrame, rows: int, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -16,34 +17,23 @@ def broadcast_if_bounded(df: DataFrame, rows: int, limit: int = MAX_BROADCAST_RO
     return F.broadcast(df) if rows <= limit else df
 
 
-def spread_scan(scan: DataFrame) -> DataFrame:
-    """Share the rows of a plain table scan between all cores.
-
-    Only a scan with fewer splits than cores is shuffled, such as a single row
-    group; a large table comes back as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 class QueryBatch:
     """A table (query_id, query) with its measured size.
 
-    Size is taken in one aggregate over the raw queries. It bounds everything
-    derived from them: a token takes at least three characters, and a top-k
-    result has at most k rows per query.
+    Rows and tokens are counted in one aggregate over the raw queries. They bound
+    everything derived from them: a table of terms has at most one row per token,
+    and a top-k result at most k rows per query.
     """
 
-    def __init__(self, queries: DataFrame, max_rows=MAX_BROADCAST_ROWS,
-                 max_chars=MAX_BROADCAST_CHARS):
+    def __init__(self, queries: DataFrame, max_rows=MAX_BROADCAST_ROWS):
         self.queries = queries
         self.max_rows = max_rows
         size = queries.agg(
             F.count("*").alias("rows"),
-            F.coalesce(F.sum(F.length("query")), F.lit(0)).alias("chars"),
+            F.coalesce(F.sum(F.coalesce(F.size(tokenize("query")), F.lit(0))), F.lit(0)).alias("tokens"),
         ).first()
         self.rows = size["rows"]
-        self.terms_fit = self.rows <= max_rows and size["chars"] <= max_chars
+        self.terms_fit = max(self.rows, size["tokens"]) <= max_rows
 
     @classmethod
     def of(cls, queries) -> "QueryBatch":
@@ -53,6 +43,10 @@ class QueryBatch:
         """For tables with at most one row per query token."""
         return F.broadcast(df) if self.terms_fit else df
 
+    def broadcast_rows(self, df: DataFrame) -> DataFrame:
+        """For tables with at most one row per query."""
+        return broadcast_if_bounded(df, self.rows, self.max_rows)
+
     def broadcast_results(self, df: DataFrame, k: int) -> DataFrame:
         """For tables with at most k rows per query."""
         return broadcast_if_bounded(df, self.rows * k, self.max_rows)

@@ -19,6 +19,9 @@ POSTINGS = T.StructType([
     T.StructField("bucket", T.LongType()),
 ])
 
+# As stored: every addition to an index has a batch number.
+STORED_POSTINGS = T.StructType([*POSTINGS.fields, T.StructField("batch", T.LongType())])
+
 TERM_STATS = T.StructType([
     T.StructField("term", T.StringType()),
     T.StructField("df", T.LongType()),

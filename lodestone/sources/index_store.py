@@ -1,32 +1,73 @@
 """Indexes stored as Parquet tables.
 
-A stored index is a folder with ``postings/`` (partitioned by bucket, sorted by
-term and document), ``term_stats/``, ``doc_stats/`` and the one-row ``settings/``.
+A stored index is a folder with ``postings/`` (partitioned by batch and bucket,
+sorted by term and document), ``documents/`` (the ids of each batch) and one
+folder ``stats/<batch>/`` per addition, with ``term_stats/``, ``doc_stats/`` and the
+one-row ``settings/``. Settings are written last and commit an addition: readers
+take the newest settings and leave later batches out, so a writer that dies
+midway changes nothing they see.
 """
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.indexing import Index, document_statistics, retained_postings, term_statistics
+from ..functions.text import term_bucket
+from ..operators.indexing import (
+    Index,
+    count_tokens,
+    document_statistics,
+    require_unique,
+    retained_postings,
+    term_statistics,
+)
 from ..plans.layout import cluster_by_bucket
-from ..schemas import DOC_STATS, POSTINGS, TERM_STATS
+from ..plans.runtime import hadoop_path, stored_table
+from ..plans.sizing import MAX_BROADCAST_ROWS
+from ..plans.skew import salted_join
+from ..schemas import DOC_STATS, POSTINGS, STORED_POSTINGS, TERM_STATS
 
-SETTINGS = "min_df bigint, n_buckets bigint"
+SETTINGS = "batch bigint, min_df bigint, n_buckets bigint"
 
 
-def save_global_stats(index: Index, path: str) -> None:
-    """Write the index's term and document statistics and its settings."""
+def _settings(spark: SparkSession, path: str) -> dict | None:
+    """The newest committed settings."""
+    pattern, files = hadoop_path(spark, f"{path}/stats/*/settings/_SUCCESS")
+    if not len(files.globStatus(pattern) or []):
+        return None
+    rows = spark.read.schema(SETTINGS).parquet(f"{path}/stats/*/settings")
+    newest = rows.orderBy(F.desc("batch")).first()
+    return newest.asDict() if newest else None
+
+
+def _commit(spark: SparkSession, path: str, batch: int, min_df: int, n_buckets: int) -> None:
+    settings = spark.range(1).select(
+        F.lit(batch).cast("bigint").alias("batch"), F.lit(min_df).cast("bigint").alias("min_df"),
+        F.lit(n_buckets).cast("bigint").alias("n_buckets"))
+    settings.write.mode("overwrite").parquet(f"{path}/stats/{batch}/settings")
+
+
+def _write_postings(postings: DataFrame, path: str, batch: int, n_buckets: int) -> None:
+    (
+        cluster_by_bucket(postings.select("term", "doc_id", "tf"), n_buckets)
+        .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings/batch={batch}")
+    )
+
+
+def _read_postings(spark: SparkSession, path: str, batch: int) -> DataFrame:
+    stored = spark.read.schema(STORED_POSTINGS).parquet(f"{path}/postings")
+    return stored.where(F.col("batch") <= batch).drop("batch")
+
+
+def save_global_stats(index: Index, path: str, batch: int = 0) -> None:
+    """Write the index's term and document statistics and, last, its settings."""
     spark = index.postings.sparkSession
-    index.term_stats.write.mode("overwrite").parquet(f"{path}/term_stats")
+    stats = f"{path}/stats/{batch}"
+    index.term_stats.write.mode("overwrite").parquet(f"{stats}/term_stats")
     # Read back: the size of the written table decides how it is joined.
-    term_stats = spark.read.schema(TERM_STATS).parquet(f"{path}/term_stats")
+    term_stats = spark.read.schema(TERM_STATS).parquet(f"{stats}/term_stats")
     retained = retained_postings(index.postings, term_stats, index.min_df, stored=True)
-    document_statistics(retained).write.mode("overwrite").parquet(f"{path}/doc_stats")
-    settings = spark.range(1).select(
-        F.lit(index.min_df).cast("bigint").alias("min_df"),
-        F.lit(index.n_buckets).cast("bigint").alias("n_buckets"),
-    )
-    settings.write.mode("overwrite").parquet(f"{path}/settings")
+    document_statistics(retained).write.mode("overwrite").parquet(f"{stats}/doc_stats")
+    _commit(spark, path, batch, index.min_df, index.n_buckets)
 
 
 def write_index(index: Index, path: str, n_buckets: int = 124) -> Index:
@@ -34,35 +75,93 @@ def write_index(index: Index, path: str, n_buckets: int = 124) -> Index:
 
     Postings are written first, unpruned, so that later additions can lift a term
     over the threshold; statistics are then taken from the written table and the
-    documents are tokenised once.
+    documents are tokenised once. An index that is there already loses its
+    settings first, so nobody reads a half-replaced one.
     """
     spark = index.postings.sparkSession
-    (
-        cluster_by_bucket(index.postings.select("term", "doc_id", "tf"), n_buckets)
-        .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
-    )
-    postings = spark.read.schema(POSTINGS).parquet(f"{path}/postings")
+    for part in ("stats", "postings", "documents"):
+        folder, files = hadoop_path(spark, f"{path}/{part}")
+        files.delete(folder, True)
+    _write_postings(index.postings, path, 0, n_buckets)
+    postings = _read_postings(spark, path, 0)
+    postings.select("doc_id").distinct().write.mode("overwrite").parquet(f"{path}/documents/batch=0")
     stored = Index(postings, term_statistics(postings), None, index.min_df, n_buckets)
     save_global_stats(stored, path)
     return read_index(spark, path)
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
-    settings = spark.read.schema(SETTINGS).parquet(f"{path}/settings").first()
+    settings = _settings(spark, path)
+    if settings is None:
+        raise FileNotFoundError(f"no index at {path}")
+    batch = settings["batch"]
+    documents = spark.read.schema("doc_id bigint, batch bigint").parquet(f"{path}/documents")
     return Index(
-        postings=spark.read.schema(POSTINGS).parquet(f"{path}/postings"),
-        term_stats=spark.read.schema(TERM_STATS).parquet(f"{path}/term_stats"),
-        doc_stats=spark.read.schema(DOC_STATS).parquet(f"{path}/doc_stats"),
+        postings=_read_postings(spark, path, batch),
+        term_stats=spark.read.schema(TERM_STATS).parquet(f"{path}/stats/{batch}/term_stats"),
+        doc_stats=spark.read.schema(DOC_STATS).parquet(f"{path}/stats/{batch}/doc_stats"),
         min_df=settings["min_df"],
         n_buckets=settings["n_buckets"],
+        documents=documents.where(F.col("batch") <= batch).select("doc_id"),
+    )
+
+
+def crossing_postings(index: Index, stats: DataFrame) -> DataFrame:
+    """Old postings of the terms that ``stats`` lifts over the threshold.
+
+    ``stats`` is (term, df, ...) after an addition. The terms are counted: few are
+    broadcast and pick bucket folders at run time, many meet salted keys.
+    """
+    old = index.term_stats.where(F.col("df") <= index.min_df).select("term")
+    lifted = stats.where(F.col("df") > index.min_df).join(old, "term", "left_semi").select(
+        "term", term_bucket("term", index.n_buckets).alias("bucket"))
+    lifted = stored_table(lifted, "lifted")
+    keys = ["bucket", "term"]
+    if lifted.count() <= MAX_BROADCAST_ROWS:
+        # Spark prunes folders at run time only by a side with a filter of its own.
+        found = index.postings.join(F.broadcast(lifted.where("bucket >= 0")), keys, "left_semi")
+    else:
+        found = salted_join(index.postings, lifted, keys, "doc_id", "left_semi")
+    return found.select("term", "doc_id", "tf")
+
+
+def append_index(spark: SparkSession, path: str, docs: DataFrame) -> Index:
+    """Add a batch of new (doc_id, tokens) to a stored index and return it.
+
+    The batch's postings become files of their own. Term statistics are summed with
+    the old ones. Document statistics change by the batch's rows and by the old rows
+    of terms that cross the threshold, and only those old postings are read. Ids
+    that the index holds or that come twice are refused. An addition that failed
+    is replaced by the next one.
+    """
+    settings = _settings(spark, path)
+    index = read_index(spark, path)
+    batch, n_buckets = settings["batch"] + 1, settings["n_buckets"]
+    require_unique(docs, index.doc_ids)
+    _write_postings(count_tokens(docs), path, batch, n_buckets)
+    new = spark.read.schema(POSTINGS).parquet(f"{path}/postings/batch={batch}")
+    new.select("doc_id").distinct().write.mode("overwrite").parquet(f"{path}/documents/batch={batch}")
+    folder = f"{path}/stats/{batch}"
+    (
+        index.term_stats.unionByName(term_statistics(new)).groupBy("term")
+        .agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+        .write.mode("overwrite").parquet(f"{folder}/term_stats")
     )
+    stats = spark.read.schema(TERM_STATS).parquet(f"{folder}/term_stats")
+    changed = crossing_postings(index, stats).unionByName(
+        retained_postings(new, stats, index.min_df, stored=True).select("term", "doc_id", "tf"))
+    (
+        index.doc_stats.unionByName(document_statistics(changed)).groupBy("doc_id")
+        .agg(F.sum("dl").alias("dl"), F.sum("nf").alias("nf"))
+        .write.mode("overwrite").parquet(f"{folder}/doc_stats")
+    )
+    _commit(spark, path, batch, index.min_df, n_buckets)
+    return read_index(spark, path)
 
 
 def delete_index(spark: SparkSession, path: str) -> bool:
     """Remove a stored index's folder through the file system that holds it."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    settings = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/settings")
-    if not files.exists(settings):
+    if _settings(spark, path) is None:
         raise FileNotFoundError(f"no index at {path}")
+    folder, files = hadoop_path(spark, path)
     return files.delete(folder, True)

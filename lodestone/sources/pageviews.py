@@ -17,7 +17,7 @@ def parse_pageview_line(lines: DataFrame, project: str = "en.wikipedia") -> Data
     """Article id (third field) and monthly total (fifth field) of one project's lines.
 
     The project is matched as a prefix. Lines whose two values are not all
-    digits are dropped.
+    digits, or too long for a 64-bit number, are dropped.
     """
     fields = F.split("value", " ")
     digits = r"^[0-9]+$"
@@ -25,7 +25,9 @@ def parse_pageview_line(lines: DataFrame, project: str = "en.wikipedia") -> Data
         lines.where(F.col("value").rlike("^" + re.escape(project)))
         .select(F.get(fields, 2).alias("doc_id"), F.get(fields, 4).alias("views"))
         .where(F.col("doc_id").rlike(digits) & F.col("views").rlike(digits))
-        .select(F.col("doc_id").cast("bigint"), F.col("views").cast("bigint"))
+        .select(F.col("doc_id").try_cast("bigint").alias("doc_id"),
+                F.col("views").try_cast("bigint").alias("views"))
+        .dropna()
     )
 
 

@@ -9,10 +9,12 @@ def read_qrels(spark: SparkSession, path: str, multi_line: bool = False) -> Data
 
     Every line is one JSON object, which covers a file with a single object on
     one line as well as many objects. ``multi_line`` takes each file as one
-    object that may be laid out over several lines.
+    object that may be laid out over several lines. Blank lines are skipped; a
+    line that is no such object ends the job with an error.
     """
-    entries = spark.read.text(path, wholetext=multi_line).select(
-        F.explode(F.from_json("value", "map<string,array<bigint>>")).alias("query", "ids")
+    entries = spark.read.text(path, wholetext=multi_line).where(F.trim("value") != "").select(
+        F.explode(F.from_json("value", "map<string,array<bigint>>", {"mode": "FAILFAST"}))
+        .alias("query", "ids")
     )
     return entries.select("query", F.explode("ids").alias("doc_id"))
 

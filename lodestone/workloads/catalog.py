@@ -21,9 +21,17 @@ from ..operators import indexing as ix
 from ..operators import queries as qs
 from ..operators import retrieval as rt
 from ..plans.ranking import top_k_per_query
-from ..plans.sizing import QueryBatch, spread_scan
+from ..plans.sizing import QueryBatch
 from . import fixtures as fx
-from .fixtures import BODY_MIN_DF, N_BUCKETS, Workspace, table
+from .fixtures import (
+    BODY_MIN_DF,
+    LOOKED_UP,
+    N_BUCKETS,
+    TITLE_MIN_DF,
+    TUNED,
+    Workspace,
+    table,
+)
 
 SPAN = 256
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,7 +43,8 @@ def query(function):
 
 
 def _documents(spark, sf):
-    return spread_scan(table(spark, sf, "documents").select("doc_id", "text"))
+    """Ids and texts of the stored corpus, which lies in several files."""
+    return Workspace(spark, sf).corpus.select(F.col("id").alias("doc_id"), "text")
 
 
 def _rounded(df: DataFrame, *columns, digits=6) -> DataFrame:
@@ -45,20 +54,30 @@ def _rounded(df: DataFrame, *columns, digits=6) -> DataFrame:
 # Scans, sources and sinks
 
 
-@query
-def read_corpus(spark, sf):
+def _mixed_corpus(spark, sf, name, below=""):
     """The stored corpus next to files that do not belong to it."""
     work = Workspace(spark, sf)
-    root = work.folder("mixed", lambda path: (
+    root = work.folder(name, lambda path: (
         work.corpus.write.mode("overwrite").parquet(f"{path}/articles"),
         work.corpus.write.mode("overwrite").parquet(f"{path}/pr_old"),
         table(spark, sf, "labels").write.mode("overwrite").parquet(f"{path}/postings_title"),
     ))
-    corpus = io.read_corpus(spark, root, exclude=["pr*", "postings_*", "*/_SUCCESS"])
+    corpus = io.read_corpus(spark, root + below, exclude=["pr*", "postings_*", "*/_SUCCESS"])
     ids = F.transform("anchor_text", lambda a: a["id"].cast("string"))
     return corpus.select("id", "title", "text", F.array_join(ids, " ").alias("targets"))
 
 
+@query
+def read_corpus(spark, sf):
+    return _mixed_corpus(spark, sf, "mixed")
+
+
+@query
+def read_corpus_glob(spark, sf):
+    """The same through a wildcard, below a folder with a blank in its name."""
+    return _mixed_corpus(spark, sf, "mixed files", "/*")
+
+
 @query
 def corpus_count(spark, sf):
     return io.corpus_count(Workspace(spark, sf).corpus)
@@ -88,7 +107,15 @@ def write_rank_csv(spark, sf):
     return _rounded(io.read_rank_csv(spark, path), "pagerank")
 
 
-REGISTRY["read_rank_csv"] = write_rank_csv
+@query
+def read_rank_csv(spark, sf):
+    """Number and total of the ranks read back, and those of documents above 1."""
+    work = Workspace(spark, sf)
+    path = work.folder("rank_csv", lambda p: io.write_rank_csv(work.pagerank, p))
+    ranks = io.read_rank_csv(spark, path)
+    return _rounded(ranks.agg(
+        F.count("*").alias("n"), F.sum("pagerank").alias("total"),
+        F.count_if(F.col("pagerank") > 1).alias("above")), "total", digits=4)
 
 
 def _stored_views(spark, sf):
@@ -120,9 +147,20 @@ def write_index(spark, sf):
     return Workspace(spark, sf).body.retained.select("term", "doc_id", "tf")
 
 
+def _index_rows(index):
+    """All three tables of an index, one kind of row each."""
+    postings = index.retained.select(
+        F.lit("posting").alias("kind"), F.col("term").alias("name"), "doc_id",
+        F.col("tf").alias("first"), F.lit(None).cast("bigint").alias("second"))
+    none = F.lit(None)
+    terms = index.terms.select(F.lit("term"), "term", none.cast("bigint"), "df", "cf")
+    docs = index.doc_stats.select(F.lit("doc"), none.cast("string"), "doc_id", "dl", "nf")
+    return postings.union(terms).union(docs)
+
+
 @query
 def read_index(spark, sf):
-    return Workspace(spark, sf).title.doc_stats
+    return _index_rows(Workspace(spark, sf).title)
 
 
 def _statistics(index):
@@ -169,6 +207,12 @@ def lookup_postings(spark, sf):
     return ix.lookup_postings(work.body, qs.query_term_counts(work.queries))
 
 
+@query
+def lookup_postings_list(spark, sf):
+    """The literal form: some frequent words, a rare one and one that no text has."""
+    return ix.lookup_postings(Workspace(spark, sf).body, LOOKED_UP)
+
+
 @query
 def show_top_ranks(spark, sf):
     ranks = Workspace(spark, sf).pagerank.withColumn("pagerank", F.round("pagerank", 9))
@@ -245,6 +289,16 @@ def _is_question(spark, sf):
 REGISTRY["is_question"] = _is_question
 
 
+@query
+def is_question_words(spark, sf):
+    """Questions by their first word as well, and the weights that follow."""
+    asked = fx.worded_questions(spark, sf)
+    weights = qs.query_weights(asked, question_words=True)
+    return asked.select(
+        "query_id", is_question("query", question_words=True).alias("question")
+    ).join(weights, "query_id")
+
+
 def _is_short_query(spark, sf):
     return fx.queries(spark, sf).where(is_short_query("query"))
 
@@ -310,20 +364,38 @@ def index_from_tokens(spark, sf):
     """Whitespace-separated words as given tokens."""
     words = F.split(F.trim(F.lower("text")), r"\s+")
     docs = _documents(spark, sf).select("doc_id", words.alias("tokens"))
-    return ix.index_from_tokens(docs).terms.select("term", "df", "cf")
+    return _index_rows(ix.index_from_tokens(docs, TITLE_MIN_DF))
 
 
-@query
-def add_documents(spark, sf):
-    """Index of the labelled documents, then all others added in one batch."""
+def _labelled_first(spark, sf, name):
+    """A stored index of the labelled documents, and all others as a batch to add."""
     work = Workspace(spark, sf)
     docs = _documents(spark, sf).withColumn(
         "tokens", remove_stopwords(tokenize("text"), index_stopwords()))
     labelled = table(spark, sf, "labels").select("doc_id")
     first = ix.index_from_tokens(docs.join(labelled, "doc_id", "left_semi"), BODY_MIN_DF)
-    path = work.folder("labelled", lambda p: io.write_index(first, p, N_BUCKETS))
-    stored = io.read_index(spark, path)
-    return _statistics(ix.add_documents(stored, docs.join(labelled, "doc_id", "left_anti")))
+    path = work.folder(name, lambda p: io.write_index(first, p, N_BUCKETS))
+    return path, docs.join(labelled, "doc_id", "left_anti")
+
+
+@query
+def add_documents(spark, sf):
+    path, rest = _labelled_first(spark, sf, "labelled")
+    return _statistics(ix.add_documents(io.read_index(spark, path), rest))
+
+
+@query
+def append_index(spark, sf):
+    """The same, added to the stored index; its postings and statistics as read back."""
+    work = Workspace(spark, sf)
+
+    def build(path):
+        first, rest = _labelled_first(spark, sf, "labelled")
+        old = io.read_index(spark, first)
+        io.write_index(ix.Index(old.postings, None, None, old.min_df), path, N_BUCKETS)
+        io.append_index(spark, path, rest)
+
+    return _index_rows(io.read_index(spark, work.folder("appended", build)))
 
 
 @query
@@ -358,6 +430,14 @@ def search_bm25(spark, sf):
         rt.search_bm25(work.queries, work.body, work.titles, work.n, work.avgdl), "score")
 
 
+@query
+def search_bm25_tuned(spark, sf):
+    """Other constants than the customary ones, and a shorter list."""
+    work = Workspace(spark, sf)
+    found = rt.search_bm25(work.queries, work.body, work.titles, work.n, work.avgdl, k=20, **TUNED)
+    return _rounded(found, "score")
+
+
 @query
 def search_body(spark, sf):
     work = Workspace(spark, sf)
@@ -405,6 +485,15 @@ def _top_k_per_query(spark, sf):
 REGISTRY["top_k_per_query"] = _top_k_per_query
 
 
+@query
+def top_k_per_query_5000(spark, sf):
+    """A list longer than Spark's own limit per task."""
+    work = Workspace(spark, sf)
+    hits = rt.word_hits(work.queries, work.body)
+    order = [F.desc("score"), F.asc("first_word"), F.asc("doc_id")]
+    return top_k_per_query(hits, 5000, order).select("query_id", "doc_id", "rank")
+
+
 @query
 def reciprocal_rank_score(spark, sf):
     work = Workspace(spark, sf)

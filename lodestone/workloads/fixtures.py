@@ -25,6 +25,10 @@ N_BUCKETS = 8
 
 ANCHOR_PATTERN = r'<a href="([^"]*)">([^<]*)</a>'
 
+# Terms of the literal lookup, and constants of the tuned search.
+LOOKED_UP = ["tion", "ble", "thre", "thth", "ing", "thnd", "den", "zzzz"]
+TUNED = {"k1": 2.0, "b": 0.4, "k2": 7.0}
+
 # Edge cases added to the queries taken from the benchmark table.
 EDGE_QUERIES = [(-1, ""), (-2, "the and of"), (-3, "den"), (-4, "onthe Onthe den ONTHE?"), (-5, "in?")]
 
@@ -98,6 +102,14 @@ def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.createDataFrame(EDGE_QUERIES, "query_id bigint, query string"))
 
 
+def worded_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queries, each also behind a question word and behind a word that is none."""
+    return queries(spark, sf_dir).select("query_id", "query", F.posexplode(F.array(
+        F.lit(""), F.lit("Who "), F.lit("Whoever "), F.lit("who "))).alias("n", "start")).select(
+        (F.col("query_id") * 4 + F.col("n")).alias("query_id"),
+        F.concat("start", "query").alias("query"))
+
+
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         "doc_id", F.substring_index("text", "\n", 1).alias("title"))

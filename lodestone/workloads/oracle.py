@@ -2,13 +2,15 @@
 
 from ..functions.scoring import BM25_B, BM25_K1, BM25_K2, DEFAULT_WEIGHTS
 from ..functions.stopwords import index_stopwords, query_stopwords
-from ..functions.text import TOKEN_PATTERN
+from ..functions.text import QUESTION_WORDS, TOKEN_PATTERN
 from ..operators.evaluation import END_POINTS, RANGES, STARTS
 from .fixtures import (
     ANCHOR_PATTERN,
     BODY_MIN_DF,
     EDGE_QUERIES,
+    LOOKED_UP,
     TITLE_MIN_DF,
+    TUNED,
 )
 
 W = DEFAULT_WEIGHTS
@@ -36,6 +38,16 @@ def _occurrences(source: str) -> str:
       WHERE term NOT IN {words(index_stopwords())} GROUP BY term, doc_id"""
 
 
+def _bm25(k1: float, b: float, k2: float) -> str:
+    return f"""SELECT query_id, doc_id, min(pos) AS pos,
+        sum(qtf * (ln(1 + ((SELECT count(*) FROM documents) - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE))
+          * tf * {k1 + 1}::DOUBLE
+          / (tf + {k1}::DOUBLE * (1 - {b}::DOUBLE + {b}::DOUBLE * dl / (SELECT avgdl FROM avgdl))))
+          * ({k2 + 1}::DOUBLE * tf / ({k2}::DOUBLE + tf))) AS score
+      FROM query_terms JOIN body_terms USING (term) JOIN body USING (term) JOIN body_docs USING (doc_id)
+      GROUP BY query_id, doc_id"""
+
+
 # name -> (names it reads, body)
 CTES: dict[str, tuple[tuple, str]] = {
     "titles": ((), "SELECT doc_id, split_part(text, chr(10), 1) AS title FROM documents"),
@@ -63,15 +75,19 @@ CTES: dict[str, tuple[tuple, str]] = {
         sum(greatest(b.dl, coalesce(t.dl, 0), coalesce(a.dl, 0)))
           / (SELECT count(*) FROM documents)::DOUBLE AS avgdl
       FROM body_docs b LEFT JOIN title_docs t USING (doc_id) LEFT JOIN anchor_docs a USING (doc_id)"""),
-    "bm25_scores": (("query_terms", "body_terms", "body", "body_docs", "avgdl"), f"""SELECT
-        query_id, doc_id, min(pos) AS pos,
-        sum(qtf * (ln(1 + ((SELECT count(*) FROM documents) - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE))
-          * tf * {BM25_K1 + 1}::DOUBLE
-          / (tf + {BM25_K1}::DOUBLE * (1 - {BM25_B}::DOUBLE + {BM25_B}::DOUBLE * dl
-              / (SELECT avgdl FROM avgdl))))
-          * ({BM25_K2 + 1}::DOUBLE * tf / ({BM25_K2}::DOUBLE + tf))) AS score
-      FROM query_terms JOIN body_terms USING (term) JOIN body USING (term) JOIN body_docs USING (doc_id)
-      GROUP BY query_id, doc_id"""),
+    "bm25_scores": (("query_terms", "body_terms", "body", "body_docs", "avgdl"),
+                    _bm25(BM25_K1, BM25_B, BM25_K2)),
+    "tuned_scores": (("query_terms", "body_terms", "body", "body_docs", "avgdl"), _bm25(**TUNED)),
+    "tuned": (("tuned_scores",), """SELECT * FROM (SELECT query_id, doc_id, score, row_number() OVER (
+        PARTITION BY query_id ORDER BY round(score, 9) DESC, pos, doc_id) AS rank FROM tuned_scores)
+      WHERE rank <= 20"""),
+    "body_hits": (("query_terms", "body"), """SELECT query_id, doc_id, count(*) AS score,
+        min(term) AS first_word FROM query_terms JOIN body USING (term) GROUP BY query_id, doc_id"""),
+    "tokens_all": ((), """SELECT term, doc_id, count(*) AS tf FROM (
+        SELECT doc_id, unnest(string_split_regex(trim(lower(text)), '\\s+')) AS term FROM documents)
+      GROUP BY term, doc_id"""),
+    "worded": (("queries",), """SELECT query_id * 4 + n AS query_id, start || query AS query FROM queries,
+        (VALUES (0, ''), (1, 'Who '), (2, 'Whoever '), (3, 'who ')) t(n, start)"""),
     "bm25": (("bm25_scores",), """SELECT * FROM (SELECT query_id, doc_id, score, row_number() OVER (
         PARTITION BY query_id ORDER BY round(score, 9) DESC, pos, doc_id) AS rank FROM bm25_scores)
       WHERE rank <= 100"""),
@@ -100,10 +116,12 @@ CTES: dict[str, tuple[tuple, str]] = {
         CASE WHEN event_type = 'error' THEN 'null'
           ELSE (event_id % (SELECT count(*) FROM documents))::VARCHAR END,
         'desktop', (event_id % 1000)::VARCHAR, event_type) AS line FROM events"""),
-    "parsed_lines": (("dump_lines",), r"""SELECT doc_id::BIGINT AS doc_id, views::BIGINT AS views FROM (
+    "parsed_lines": (("dump_lines",), r"""SELECT TRY_CAST(doc_id AS BIGINT) AS doc_id,
+        TRY_CAST(views AS BIGINT) AS views FROM (
         SELECT split_part(line, ' ', 3) AS doc_id, split_part(line, ' ', 5) AS views
         FROM dump_lines WHERE regexp_matches(line, '^en\.wikipedia'))
-      WHERE regexp_full_match(doc_id, '[0-9]+') AND regexp_full_match(views, '[0-9]+')"""),
+      WHERE regexp_full_match(doc_id, '[0-9]+') AND regexp_full_match(views, '[0-9]+')
+        AND TRY_CAST(doc_id AS BIGINT) IS NOT NULL AND TRY_CAST(views AS BIGINT) IS NOT NULL"""),
     "pageviews": (("parsed_lines",), "SELECT doc_id, sum(views)::BIGINT AS views FROM parsed_lines GROUP BY doc_id"),
     "requests": (("anchors",), """SELECT src AS request_id, pos, id AS doc_id FROM (
         SELECT src, unnest(ids) AS id, generate_subscripts(ids, 1) - 1 AS pos FROM (
@@ -157,7 +175,8 @@ CTES: dict[str, tuple[tuple, str]] = {
 CTES["hybrid"] = (("features", "query_weights"), CTES["hybrid"][1])
 CTES["requests"] = (("link_lists",), CTES["requests"][1])
 
-for _field, _min_df in (("body", BODY_MIN_DF), ("title", TITLE_MIN_DF), ("anchor", 0)):
+for _field, _min_df in (("body", BODY_MIN_DF), ("title", TITLE_MIN_DF), ("anchor", 0),
+                        ("tokens", TITLE_MIN_DF)):
     CTES[f"{_field}_terms"] = (
         (f"{_field}_all",),
         f"SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM {_field}_all "
@@ -287,6 +306,12 @@ def _stat_rows(prefix: str) -> str:
             f"UNION ALL SELECT 'doc', doc_id::VARCHAR, dl, nf FROM {prefix}_docs")
 
 
+def _index_rows(prefix: str) -> str:
+    return (f"SELECT 'posting' AS kind, term AS name, doc_id, tf AS first, NULL::BIGINT AS second FROM {prefix} "
+            f"UNION ALL SELECT 'term', term, NULL, df, cf FROM {prefix}_terms "
+            f"UNION ALL SELECT 'doc', NULL, doc_id, dl, nf FROM {prefix}_docs")
+
+
 SPAN = 256
 
 
@@ -302,13 +327,18 @@ def oracle_sql() -> dict[str, str]:
             coalesce(array_to_string(list_transform(l.ids, lambda i: i::VARCHAR), ' '), '') AS targets
             FROM documents d JOIN titles USING (doc_id) LEFT JOIN link_lists l ON l.src = d.doc_id""",
                          "titles", "link_lists"),
+        "read_corpus_glob": c(f"""SELECT d.doc_id AS id, title, text,
+            coalesce(array_to_string(list_transform(l.ids, lambda i: i::VARCHAR), ' '), '') AS targets
+            FROM documents d JOIN titles USING (doc_id) LEFT JOIN link_lists l ON l.src = d.doc_id""",
+                         "titles", "link_lists"),
         "corpus_count": "SELECT count(*) AS n FROM documents",
         "project_field": c("SELECT doc_id, title FROM titles", "titles"),
         "read_pageview_dump": c("SELECT line AS value, count(*) AS n FROM dump_lines GROUP BY line", "dump_lines"),
         "write_rank_csv": c("SELECT id AS doc_id, round(pagerank, 6) AS pagerank FROM link_pagerank", "link_pagerank"),
-        "read_rank_csv": c("SELECT id AS doc_id, round(pagerank, 6) AS pagerank FROM link_pagerank", "link_pagerank"),
+        "read_rank_csv": c("SELECT count(*) AS n, round(sum(pagerank), 4) AS total, "
+                           "count(*) FILTER (pagerank > 1) AS above FROM link_pagerank", "link_pagerank"),
         "read_pageviews": c("SELECT count(*) AS articles, sum(views)::BIGINT AS views FROM pageviews", "pageviews"),
-        "read_index": c("SELECT doc_id, dl, nf FROM title_docs", "title_docs"),
+        "read_index": c(_index_rows("title"), "title", "title_terms", "title_docs"),
         "is_short_query": c("SELECT query_id, query FROM queries WHERE length(query) < 4 AND "
                             "query NOT LIKE '%?'", "queries"),
         "write_pageviews": c("SELECT doc_id, views FROM pageviews", "pageviews"),
@@ -319,6 +349,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_postings": c(_blocks("body", SPAN), "body"),
         "lookup_postings": c("SELECT term, doc_id, tf FROM body WHERE term IN "
                              "(SELECT term FROM query_terms)", "body", "query_terms"),
+        "lookup_postings_list": c(f"SELECT term, doc_id, tf FROM body WHERE term IN {words(LOOKED_UP)}", "body"),
         "show_top_ranks": c("SELECT id AS doc_id, round(pagerank, 6) AS pagerank FROM link_pagerank "
                             "ORDER BY round(pagerank, 9) DESC, id LIMIT 20", "link_pagerank"),
         # text and queries
@@ -340,6 +371,12 @@ def oracle_sql() -> dict[str, str]:
         "parse_pageview_line": c("SELECT doc_id, views FROM parsed_lines", "parsed_lines"),
         "is_question": c("SELECT query_id, query LIKE '%?' AS question, length(query) < 4 AND "
                          "query NOT LIKE '%?' AS short FROM queries", "queries"),
+        "is_question_words": c(f"""SELECT query_id, question,
+            CASE WHEN question THEN {W.rank_decay_question}::DOUBLE ELSE {W.rank_decay}::DOUBLE END AS x,
+            CASE WHEN length(query) < 4 AND query NOT LIKE '%?' THEN {W.title_bonus_short}::DOUBLE
+              ELSE {W.title_bonus}::DOUBLE END AS y
+            FROM (SELECT *, query LIKE '%?' OR split_part(query, ' ', 1) IN {words(QUESTION_WORDS)} AS question
+              FROM worded)""", "worded"),
         "query_nonempty": c("SELECT query_id, query FROM queries WHERE query_id IN "
                             "(SELECT query_id FROM query_terms)", "queries", "query_terms"),
         # index construction
@@ -352,10 +389,8 @@ def oracle_sql() -> dict[str, str]:
         "doc_norm": c("SELECT doc_id, nf FROM body_docs", "body_docs"),
         "collection_frequency": c("SELECT term, sum(tf)::BIGINT AS cf FROM body_all GROUP BY term", "body_all"),
         "raw_doc_length": f"SELECT doc_id, len({tokens('text')}) AS dl FROM documents",
-        "index_from_tokens": c("""SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM (
-            SELECT doc_id, term, count(*) AS tf FROM (
-              SELECT doc_id, unnest(string_split_regex(trim(lower(text)), '\\s+')) AS term FROM documents)
-            GROUP BY doc_id, term) GROUP BY term"""),
+        "index_from_tokens": c(_index_rows("tokens"), "tokens", "tokens_terms", "tokens_docs"),
+        "append_index": c(_index_rows("body"), "body", "body_terms", "body_docs"),
         "add_documents": c(_stat_rows("body"), "body_terms", "body_docs"),
         "avg_doc_length": c("SELECT round(avgdl, 6) AS avgdl FROM avgdl", "avgdl"),
         "title_lookup": c("SELECT doc_id, dl, title FROM body_docs JOIN titles USING (doc_id)", "body_docs", "titles"),
@@ -363,6 +398,7 @@ def oracle_sql() -> dict[str, str]:
         "anchor_documents": c("SELECT term, doc_id, tf FROM anchor_all", "anchor_all"),
         # ranking and lookup
         "search_bm25": c(_result("bm25"), "bm25", "titles"),
+        "search_bm25_tuned": c(_result("tuned"), "tuned", "titles"),
         "search_body": c(_result(f"({top_body})"), "body_scores", "titles"),
         "search_title": c(_ranked("title_hits"), "title_hits", "titles"),
         "search_anchor": c(_ranked("anchor_hits"), "anchor_hits", "titles"),
@@ -375,6 +411,9 @@ def oracle_sql() -> dict[str, str]:
         "top_k_per_query": c("""SELECT query_id, doc_id, rank::INTEGER AS rank FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, first_word, doc_id)
               AS rank FROM title_hits) WHERE rank <= 10""", "title_hits"),
+        "top_k_per_query_5000": c("""SELECT query_id, doc_id, rank::INTEGER AS rank FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, first_word, doc_id)
+              AS rank FROM body_hits) WHERE rank <= 5000""", "body_hits"),
         "reciprocal_rank_score": c("SELECT query_id, doc_id, round(x / rank, 6) AS score FROM bm25 "
                                    "JOIN query_weights USING (query_id)", "bm25", "query_weights"),
         "membership_bonus": c("SELECT query_id, doc_id, y AS score FROM title_hits "

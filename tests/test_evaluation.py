@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.operators import evaluation as ev
+from lodestone.plans.sizing import QueryBatch
 
 
 def python_ap(relevant, results, k=40):
@@ -94,7 +95,55 @@ def test_sweep_with_pruned_candidates(spark, seed):
         found = {r.param_id: r.total_ap for r in totals.collect()}
         assert found == pytest.approx(python_sweep(rows, texts, relevant, settings, k))
         assert ev.sweep_candidates(features, k, 0.5).count() < len(rows)
-    assert ev.sweep_candidates(features, 3, 0.0).count() == len(rows)
+    # Without positive weights only rows behind k of equal priors go, and totals stay exact.
+    assert ev.sweep_candidates(features, 3, 0.5).count() <= ev.sweep_candidates(features, 3, 0.0).count()
+    none = params.withColumn("k3", F.lit(0.0)).withColumn("k4", F.lit(-1.0))
+    settings = {r.param_id: r.asDict() for r in none.collect()}
+    found = {r.param_id: r.total_ap for r in ev.parameter_sweep(features, queries, qrels, none, 3).collect()}
+    assert found == pytest.approx(python_sweep(rows, texts, relevant, settings, 3))
+
+
+def test_sweep_takes_any_number_of_settings(spark):
+    """20,000 settings, few of them distinct, and the same through the salted join."""
+    rows = make_features(5, 60)
+    texts = {0: "plain query", 1: "a question?", 2: "ab"}
+    relevant = {q: {r[1] for r in rows if r[0] == q and r[1] % 2} for q in texts}
+    features = spark.createDataFrame(rows, FEATURES)
+    queries = spark.createDataFrame(list(texts.items()), "query_id bigint, query string")
+    qrels = spark.createDataFrame(
+        [(q, d) for q, ids in relevant.items() for d in ids], "query_id bigint, doc_id bigint")
+    params = ev.random_parameters(spark, 20_000, 3, end_points=True)
+    totals = {r.param_id: r.total_ap for r in ev.parameter_sweep(features, queries, qrels, params, 5).collect()}
+    some = {r.param_id: r.asDict() for r in params.where("param_id % 1999 = 0").collect()}
+    expected = python_sweep(rows, texts, relevant, some, 5)
+    assert len(totals) == 20_000 and {i: totals[i] for i in some} == pytest.approx(expected)
+    small = params.where("param_id % 1999 = 0")
+    batch = QueryBatch(queries, max_rows=1)
+    salted = {r.param_id: r.total_ap for r in ev.parameter_sweep(features, batch, qrels, small, 5).collect()}
+    assert salted == pytest.approx(expected)
+
+
+def test_sweep_splits_a_query_with_most_rows(spark):
+    """Distinct priors, one query with 80 % of the rows, nothing broadcast: no task holds them."""
+    n = 100_000
+    features = spark.range(n).select(
+        F.when(F.col("id") % 10 < 8, 0).otherwise(F.col("id")).cast("bigint").alias("query_id"),
+        F.col("id").alias("doc_id"), F.lit(None).cast("int").alias("bm25_rank"),
+        F.lit(1).cast("bigint").alias("title_words"), F.lit("a").alias("title_first"),
+        F.lit(0).cast("bigint").alias("anchor_words"), F.lit(None).cast("string").alias("anchor_first"),
+        (0.5 + F.col("id") * 1e-14).alias("pr"), F.lit(1.0).alias("pv"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        kept = ev.sweep_candidates(features, 40, 0.5)
+        sizes = [r["count"] for r in kept.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) > 0.8 * n and max(sizes) < 0.4 * n
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_parameters(spark):

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from lodestone.operators import indexing as ix
 from lodestone.plans import cluster_by_bucket, doc_cuts
-from lodestone.sources import delete_index, read_index, write_index
+from lodestone.plans.ranking import top_k_per_query
+from lodestone.sources import append_index, delete_index, read_index, write_index
+from lodestone.sources.index_store import crossing_postings
 
 from . import micro
 
@@ -141,3 +143,90 @@ def test_doc_cuts(spark):
     cuts = doc_cuts(spark.range(1000).withColumnRenamed("id", "doc_id"), block_rows=100)
     assert len(cuts) == 9
     assert all(abs(c - 100 * (i + 1)) < 20 for i, c in enumerate(cuts))
+
+
+def test_documents_are_added_once(spark):
+    tokens = "doc_id bigint, tokens array<string>"
+    twice = spark.createDataFrame([(1, ["green"]), (2, ["tea"]), (1, ["green"])], tokens)
+    for build in (ix.index_from_tokens, lambda d: ix.build_index(d.select("doc_id", F.array_join("tokens", " ").alias("text")))):
+        with pytest.raises(ValueError, match="1"):
+            build(twice)
+    index = ix.index_from_tokens(twice.dropDuplicates(["doc_id"]))
+    with pytest.raises(ValueError, match="2"):
+        ix.add_documents(index, spark.createDataFrame([(2, ["tea"]), (3, ["new"])], tokens))
+
+
+def index_tables(index):
+    return {part: rows(getattr(index, part).select(*columns)) for part, columns in (
+        ("retained", ["term", "doc_id", "tf"]), ("terms", ["term", "df", "cf"]),
+        ("doc_stats", ["doc_id", "dl", "nf"]), ("doc_ids", ["doc_id"]))}
+
+
+def test_appended_index_equals_one_build(spark, tmp_path):
+    docs = spark.read.parquet(DOCS).select("doc_id", F.split("text", " ").alias("tokens"))
+    whole = ix.index_from_tokens(docs, 5)
+    path = f"{tmp_path}/i"
+    write_index(ix.index_from_tokens(docs.where("doc_id % 4 = 0"), 5), path, 4)
+    for part in (1, 2):
+        append_index(spark, path, docs.where(f"doc_id % 4 = {part}"))
+    before = index_tables(read_index(spark, path))
+    with pytest.raises(ValueError):
+        append_index(spark, path, docs.where("doc_id = 8"))
+    # An addition that dies before its settings are written is not seen, and is replaced.
+    docs.where("doc_id % 4 = 3").limit(3).select(
+        F.lit("junk").alias("term"), "doc_id", F.lit(1).cast("bigint").alias("tf"), F.lit(0).alias("bucket")
+    ).write.partitionBy("bucket").parquet(f"{path}/postings/batch=3")
+    assert index_tables(read_index(spark, path)) == before
+    append_index(spark, path, docs.where("doc_id % 4 = 3"))
+    assert index_tables(read_index(spark, path)) == index_tables(whole)
+
+
+def test_append_reads_old_postings_of_crossing_terms_only(spark, tmp_path):
+    tokens = "doc_id bigint, tokens array<string>"
+    many = [(i, [f"t{i % 50}", "rare"] if i == 0 else [f"t{i % 50}"]) for i in range(200)]
+    path = f"{tmp_path}/i"
+    index = write_index(ix.index_from_tokens(spark.createDataFrame(many, tokens), 1), path, 64)
+    stats = index.term_stats.where("term = 'rare'").select("term", F.lit(2).cast("bigint").alias("df"))
+    old = crossing_postings(index, stats)
+    assert rows(old) == [("rare", 0, 1)]
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "hashpartitioning" not in plan
+
+
+def test_lookup_prunes_folders_without_a_shuffle(spark, postings, tmp_path):
+    stored = write_index(ix.Index.from_postings(postings, 0), f"{tmp_path}/b", 16)
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wanted = spark.createDataFrame([("tion",), ("thre",)], "term string")
+        found = ix.lookup_postings(stored, wanted)
+        assert {r.term for r in found.collect()} == {"tion", "thre"}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    assert "BroadcastHashJoin" in plan and "dynamicpruning" in plan and "hashpartitioning" not in plan
+
+
+def test_many_terms_are_looked_up_with_salts(spark, postings, monkeypatch):
+    index = ix.Index.from_postings(postings, 5)
+    wanted = index.terms.select("term").limit(20)
+    few = rows(ix.lookup_postings(index, wanted.cache()))
+    monkeypatch.setattr(ix, "MAX_BROADCAST_ROWS", 3)
+    assert rows(ix.lookup_postings(index, wanted)) == few
+    assert rows(ix.prune_rare_terms(postings, 5)) == rows(index.retained.select("term", "doc_id", "tf"))
+
+
+def test_long_lists_are_cut_in_groups(spark):
+    """k above Spark's limit: equal to plain sorting, and no step before the last sees a whole query."""
+    hits = spark.range(60_000).select(
+        F.floor(F.col("id") % 10 / 9).alias("query_id"), F.col("id").alias("doc_id"),
+        (F.col("id") * 7919 % 1009).alias("score"))
+    order = [F.desc("score"), F.asc("doc_id")]
+    found = {}
+    for r in top_k_per_query(hits, 1500, order).collect():
+        found.setdefault(r.query_id, {})[r["rank"]] = r.doc_id
+    for q in (0, 1):
+        best = sorted((-(i * 7919 % 1009), i) for i in range(60_000) if i % 10 // 9 == q)[:1500]
+        assert [found[q][k + 1] for k in range(len(best))] == [i for _, i in best]
+    plan = top_k_per_query(hits, 1500, order)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2 and "salt" in plan

@@ -107,6 +107,30 @@ def test_unbounded_batches_are_not_broadcast(world):
                         world["pageviews"]), e.hybrid)
 
 
+def test_batches_are_measured_in_tokens(spark):
+    """Two million short queries have too many terms for a broadcast, whatever their letters."""
+    many = spark.range(2_000_000).select(
+        F.col("id").alias("query_id"), F.concat(F.lit("tea "), F.col("id").cast("string")).alias("query"))
+    assert not QueryBatch(many).terms_fit
+    long = spark.createDataFrame([(1, "tea " * 600), (2, None)], "query_id bigint, query string")
+    assert QueryBatch(long, max_rows=600).terms_fit and not QueryBatch(long, max_rows=599).terms_fit
+
+
+def test_scores_worked_out_by_hand(world):
+    """Query 8, "cherry unknownword": cherry is once in documents 1 and 3, each 5 words long.
+
+    The mean length is 26 / 7 (longest fields 5, 5, 5, 3, 3 and 5 words over 7 articles).
+    BM25: ln(1 + 5.5 / 2.5) = 1.163151 times the length-normalised tf. Cosine: 1 / 5 * log2(6 / 2)
+    over the query's norm, the root of 2, and the documents' norms, the roots of 11 and 7.
+    """
+    e = world["engine"]
+    assert e.avgdl == pytest.approx(26 / 7)
+    bm25 = listed(retrieval.search_bm25(world["queries"], world["body"], world["titles"], e.n, e.avgdl))
+    assert bm25[8] == [(1, pytest.approx(1.006387, abs=1e-6)), (3, pytest.approx(1.006387, abs=1e-6))]
+    body = listed(retrieval.search_body(world["queries"], world["body"], world["titles"]))
+    assert body[8] == [(3, pytest.approx(0.084720, abs=1e-6)), (1, pytest.approx(0.067583, abs=1e-6))]
+
+
 def test_matching_documents(world):
     rows = retrieval.matching_documents(world["queries"], world["body"]).collect()
     assert sorted(r.doc_id for r in rows if r.query_id == 1) == [1, 3, 5]

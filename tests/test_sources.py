@@ -3,6 +3,7 @@ import glob
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from lodestone import sources as io
@@ -28,6 +29,37 @@ def test_read_corpus_excludes_files(spark, tmp_path):
     assert both.count() == 2 * len(micro.ARTICLES)
 
 
+def test_read_corpus_names_are_relative_to_the_folder(spark, tmp_path, monkeypatch):
+    """Plain, relative, with scheme, wildcard, blanks and plus signs, several roots."""
+    n = len(micro.ARTICLES)
+    root = tmp_path / "my data+more"
+    for folder in ("articles", "pr_old", "postings_x"):
+        micro.corpus(spark).coalesce(1).write.parquet(f"{root}/{folder}")
+    exclude = ["pr*", "postings_*"]
+    monkeypatch.chdir(tmp_path)
+    whole = [f"{root}", f"{root}/", f"file:{root}", f"file://{root}", f"{root}/*", f"{tmp_path}/my*/*"]
+    for path in whole:
+        assert io.read_corpus(spark, path, exclude).count() == n, path
+    # A folder named outright is the root of its files, so its own name is not tested.
+    assert io.read_corpus(spark, f"{root}/pr_old", exclude).count() == n
+    assert io.read_corpus(spark, [f"{root}/pr_old", f"{root}/articles"], exclude).count() == 2 * n
+    assert io.read_corpus(spark, f"{root}/*", ["*old/*"]).count() == 2 * n
+    with pytest.raises(FileNotFoundError):
+        io.read_corpus(spark, [f"{root}/articles", f"{tmp_path}/none*"], exclude)
+
+
+def test_read_corpus_with_a_relative_path(spark, tmp_path):
+    import os
+
+    n = len(micro.ARTICLES)
+    for folder in ("articles", "pr_old"):
+        micro.corpus(spark).coalesce(1).write.parquet(f"{tmp_path}/rel/{folder}")
+    # Spark resolves relative paths by the folder its session began in.
+    path = os.path.relpath(f"{tmp_path}/rel", spark._jvm.java.lang.System.getProperty("user.dir"))
+    assert io.read_corpus(spark, path, ["pr*"]).count() == n
+    assert io.read_corpus(spark, f"{path}/*", ["pr*"]).count() == n
+
+
 LINES = """en.wikipedia Apple 12 desktop 40 A1B2
 en.wikipedia Apple 12 mobile-web 2 X
 en.wikipedia.m Pear 13 desktop 5 X
@@ -38,6 +70,8 @@ en.wikipedia Odd 12a desktop 3 X
 en.wikipedia Neg 12 desktop -3 X
 en.wikipedia Short 12
 en.wikipedia Big 14 desktop 5000000000 X
+en.wikipedia Huge 12 desktop 99999999999999999999 X
+en.wikipedia Far 99999999999999999999 desktop 1 X
 """
 
 
@@ -82,3 +116,6 @@ def test_qrels(spark, tmp_path):
     lines = spark.read.text(f"{tmp_path}/out").collect()
     assert all(len(ids) <= 2 for r in lines for ids in json.loads(r.value).values())
     assert sorted(map(tuple, io.read_qrels(spark, f"{tmp_path}/out").collect())) == expected
+    (tmp_path / "bad.json").write_text('{"q": [1]}\n\n{"q": [1, }\n')
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        io.read_qrels(spark, f"{tmp_path}/bad.json").collect()
