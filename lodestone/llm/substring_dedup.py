@@ -38,8 +38,8 @@ from .words import Words, expand, gram_codes, mix, power_tables, slices, strings
 class SubstringDedup:
     window: int = 20
     anchor: int = 8
-    hot: int = 20_000
-    shard_segments: int = 20_000
+    hot: int = 2_000
+    shard_segments: int = 4_000
     slice_bytes: int = 1 << 22
 
 
