@@ -134,7 +134,7 @@ class Scorer:
 
 
 def estimate_prior(pos: np.ndarray, unl: np.ndarray, model: QualityModel) -> float:
-    """The share of positives among the unlabelled rows, less one standard error.
+    """The share of positives among the unlabelled rows, less two standard errors.
 
     Each half of the rows is judged by a network fitted on the other half.
     """
@@ -149,10 +149,10 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray, model: QualityModel) -> flo
             net.descend(x, (_sigmoid(net.logits(x)) - y) / len(y), model)
         a, b = net.logits(pos[half_p != side]), net.logits(unl[half_u != side])
         if len(a) and len(b):
-            cuts = np.quantile(a, np.linspace(0.05, 0.7, 14))
-            ratios += [(b >= cut).mean() / (a >= cut).mean() for cut in cuts]
-    low = min(ratios, default=0.5)
-    return float(np.clip(low - (max(0.0, low * (1 - low)) / max(1, len(unl))) ** 0.5, 0.05, 0.98))
+            cuts = np.quantile(a, np.linspace(0.05, 0.5, 10))
+            ratios.append([(b >= cut).mean() / (a >= cut).mean() for cut in cuts])
+    low = float(np.mean(ratios, axis=0).min()) if ratios else 0.5
+    return float(np.clip(low - 2 * (max(0.0, low * (1 - low)) / max(1, len(unl))) ** 0.5, 0.05, 0.98))
 
 
 def fit(pos: np.ndarray, unl: np.ndarray, model: QualityModel) -> dict:

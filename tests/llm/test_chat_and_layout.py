@@ -147,7 +147,7 @@ def test_filling_is_the_closest(seed):
 
 def test_plan_places_every_rest_once():
     rng = random.Random(5)
-    counts = {n: rng.randrange(1, 50) for n in rng.sample(range(1, 512), 120)}
+    counts = {n: rng.randrange(1, 50) for n in rng.sample(range(1, 250), 120)}
     ranges, fills = {}, Counter()
     for n, low, high, a_window, sequence, _ in plan_windows(counts, 512):
         ranges.setdefault(n, []).append((low, high))
