@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import in_arrow
-from .toxicity import fold_of
+from .toxicity import fold_of, one_text
 from .words import BLANKS, Words, gram_codes, slices, strings
 
 
@@ -204,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, model: QualityModel) -> bytes:
     picked = good.withColumn("label", F.lit(1)).unionByName(
         rest.limit(model.most_unlabelled).distinct().withColumn("label", F.lit(0)))
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
-    measured = in_arrow(sample.select("doc_id", "text", "label"), lambda batches: _measured(batches, model),
+    measured = in_arrow(one_text(sample, "label").select("doc_id", "text", "label"), lambda batches: _measured(batches, model),
                         "doc_id long, label int, x array<double>")
     made = in_arrow(measured.repartition(1), lambda batches: _fitted(batches, model), "weights binary").collect()
     return bytes(made[0][0]) if made else b""

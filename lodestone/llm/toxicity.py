@@ -333,7 +333,7 @@ def fold_of(doc_id: str, folds: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: dict, folds: int, held_out: int) -> DataFrame:
-    """(doc_id, text, label) of at most ``most[y]`` training rows of each label y."""
+    """(doc_id, text, label) of at most ``most[y]`` training ids of each label y, one row an id."""
     rows = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna()
     rows = rows.groupBy("doc_id").agg(F.max("label").alias("label"))
     rows = rows.where(fold_of("doc_id", folds) != held_out)
@@ -341,7 +341,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: dict,
     for y, n in most.items():
         some = rows.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
         picked = some if picked is None else picked.unionByName(some)
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    return one_text(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), "label")
+
+
+def one_text(sample: DataFrame, *keys: str) -> DataFrame:
+    """One row per id and further keys, however often it is repeated: the one with the least text."""
+    return sample.groupBy("doc_id", *keys).agg(F.min("text").alias("text"))
 
 
 def _fitted(batches, model: ToxicityModel):
