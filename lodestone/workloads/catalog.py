@@ -21,6 +21,7 @@ from ..operators import indexing as ix
 from ..operators import queries as qs
 from ..operators import retrieval as rt
 from ..plans.ranking import top_k_per_query
+from ..plans.runtime import hadoop_path
 from ..plans.sizing import QueryBatch
 from . import fixtures as fx
 from .fixtures import (
@@ -186,8 +187,8 @@ def delete_index(spark, sf):
         ix.Index(work.title.postings, None, None, work.title.min_df), path, N_BUCKETS)
     counted = stored.retained.agg(F.count("*").alias("postings")).checkpoint()
     io.delete_index(spark, path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    left = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    folder, files = hadoop_path(spark, path)
+    left = files.exists(folder)
     return counted.withColumn("left_over", F.lit(int(left)).cast("bigint"))
 
 
