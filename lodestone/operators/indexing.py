@@ -23,8 +23,9 @@ class Index:
 
     ``postings`` holds every term. The document-frequency threshold is applied
     through ``term_stats``, which every query joins anyway. ``n_buckets`` is set
-    if ``postings`` has the bucket column of a stored index, and ``documents``
-    (doc_id) if the index keeps the ids it holds.
+    if ``postings`` has the bucket column of a stored index, ``documents`` (doc_id)
+    if the index keeps the ids it holds, and ``cuts`` if it keeps the ids that
+    split its documents into blocks (``doc_cuts``).
     """
 
     postings: DataFrame
@@ -33,6 +34,7 @@ class Index:
     min_df: int = 0
     n_buckets: int | None = None
     documents: DataFrame | None = None
+    cuts: list | None = None
 
     @property
     def doc_ids(self) -> DataFrame:

@@ -138,6 +138,14 @@ def word_hits(queries, index: Index) -> DataFrame:
     )
 
 
+def _cuts(index: Index, cuts) -> list:
+    """The given cuts, those that a stored index keeps, or new ones."""
+    for known in (cuts, index.cuts):
+        if known is not None:
+            return known
+    return doc_cuts(index.doc_stats)
+
+
 def search_title(queries, title_index: Index, titles: DataFrame, cuts=None) -> DataFrame:
     """All documents with a query word in the title, by number of distinct words.
 
@@ -145,8 +153,7 @@ def search_title(queries, title_index: Index, titles: DataFrame, cuts=None) -> D
     taken from the index if not given.
     """
     hits = word_hits(queries, title_index)
-    cuts = doc_cuts(title_index.doc_stats) if cuts is None else cuts
-    return title_lookup(rank_all_per_query(hits, cuts), titles).select(*RESULT)
+    return title_lookup(rank_all_per_query(hits, _cuts(title_index, cuts)), titles).select(*RESULT)
 
 
 def search_anchor(queries, anchor_index: Index, titles: DataFrame, cuts=None) -> DataFrame:
@@ -155,8 +162,7 @@ def search_anchor(queries, anchor_index: Index, titles: DataFrame, cuts=None) ->
     Link targets without a title drop out before ranking.
     """
     hits = title_lookup(word_hits(queries, anchor_index), titles)
-    cuts = doc_cuts(anchor_index.doc_stats) if cuts is None else cuts
-    return rank_all_per_query(hits, cuts).select(*RESULT)
+    return rank_all_per_query(hits, _cuts(anchor_index, cuts)).select(*RESULT)
 
 
 def get_pagerank(requests: DataFrame, pagerank: DataFrame) -> DataFrame:

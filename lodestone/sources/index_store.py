@@ -21,12 +21,13 @@ from ..operators.indexing import (
     term_statistics,
 )
 from ..plans.layout import cluster_by_bucket
+from ..plans.ranking import doc_cuts
 from ..plans.runtime import hadoop_path, stored_table
 from ..plans.sizing import MAX_BROADCAST_ROWS
 from ..plans.skew import salted_join
 from ..schemas import DOC_STATS, POSTINGS, STORED_POSTINGS, TERM_STATS
 
-SETTINGS = "batch bigint, min_df bigint, n_buckets bigint"
+SETTINGS = "batch bigint, min_df bigint, n_buckets bigint, cuts array<double>"
 
 
 def _settings(spark: SparkSession, path: str) -> dict | None:
@@ -40,9 +41,8 @@ def _settings(spark: SparkSession, path: str) -> dict | None:
 
 
 def _commit(spark: SparkSession, path: str, batch: int, min_df: int, n_buckets: int) -> None:
-    settings = spark.range(1).select(
-        F.lit(batch).cast("bigint").alias("batch"), F.lit(min_df).cast("bigint").alias("min_df"),
-        F.lit(n_buckets).cast("bigint").alias("n_buckets"))
+    documents = spark.read.schema(DOC_STATS).parquet(f"{path}/stats/{batch}/doc_stats")
+    settings = spark.createDataFrame([(batch, min_df, n_buckets, doc_cuts(documents))], SETTINGS)
     settings.write.mode("overwrite").parquet(f"{path}/stats/{batch}/settings")
 
 
@@ -103,6 +103,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
         min_df=settings["min_df"],
         n_buckets=settings["n_buckets"],
         documents=documents.where(F.col("batch") <= batch).select("doc_id"),
+        cuts=settings["cuts"],
     )
 
 
