@@ -32,7 +32,7 @@ class Packing:
     vocabulary: str = "word_bpe_49k.json"
     window: int = 4096
     end_id: int = 2
-    cached_words: int = 2_000_000
+    cached_words: int = 400_000
 
 
 SPACES = np.zeros(256, bool)
@@ -89,7 +89,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 def cut_pieces(batches, how: Packing):
     tokens = TokenIds(how)
     for batch in batches:
-        for part in slices(batch, most=1 << 22):
+        for part in slices(batch):
             out = []
             coded = tokens.encode(strings(part.column("text")))
             for doc_id, ids in zip(strings(part.column("doc_id")).to_pylist(), coded):

@@ -54,7 +54,7 @@ class QualityRules:
         "cjk": Band(chars_per_token=(0.3, 4.0), byte_share=0.6, top_share=0.35),
         "other": Band(chars_per_token=(0.25, 8.0), byte_share=0.95, top_share=0.35),
     })
-    cached_words: int = 1_000_000
+    cached_words: int = 250_000
 
 
 SYMBOLS = np.zeros(256, bool)
@@ -135,8 +135,8 @@ def duplicate_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def judge(batches, rules: QualityRules):
-    known = Remembered(_pieces(rules), rules.cached_words)
+def judge(batches, rules: QualityRules, known: Remembered | None = None):
+    known = known or Remembered(_pieces(rules), rules.cached_words)
     sp, is_byte, _ = _load(rules.pieces, rules.units)
     for batch in batches:
         for part in slices(batch):
@@ -182,9 +182,11 @@ def quality_rules(docs: DataFrame, rules: QualityRules | None = None) -> DataFra
 
 
 def _passing(batches, rules: QualityRules):
+    known = Remembered(_pieces(rules), rules.cached_words)
     for batch in batches:
-        verdicts = pa.Table.from_batches(list(judge([batch], rules)), OUT).column("kept")
-        yield batch.filter(strings(verdicts))
+        for part in slices(batch):
+            verdicts = pa.Table.from_batches(list(judge([part], rules, known)), OUT).column("kept")
+            yield part.filter(strings(verdicts))
 
 
 def passing(docs: DataFrame, rules: QualityRules | None = None) -> DataFrame:

@@ -40,7 +40,7 @@ class SubstringDedup:
     anchor: int = 8
     hot: int = 2_000
     shard_segments: int = 4_000
-    slice_bytes: int = 1 << 22
+    slice_bytes: int = 1 << 20
 
 
 LAST = (1 << 63) - 1

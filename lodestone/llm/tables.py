@@ -6,6 +6,7 @@ import zipfile
 from pathlib import Path
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +21,10 @@ _shipped: set = set()
 
 
 def in_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package: it is added to the session once."""
+    """``mapInArrow`` whose workers can import this package: it is added to the session once.
+
+    Workers outlive their tasks, so each task hands its unused Arrow memory back.
+    """
     context = df.sparkSession.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
@@ -30,7 +34,12 @@ def in_arrow(df: DataFrame, function, schema: str) -> DataFrame:
                 out.write(source, source.relative_to(package.parent))
         context.addPyFile(archive)
         _shipped.add(context.applicationId)
-    return df.mapInArrow(function, schema)
+
+    def task(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(task, schema)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
