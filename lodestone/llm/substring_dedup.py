@@ -352,9 +352,10 @@ def without_repeats(docs: DataFrame, how: SubstringDedup | None = None) -> DataF
                              "_rid": F.xxhash64("doc_id", "text")})
     cut = cut.select(F.col("did").alias("_did"), F.col("rid").alias("_rid"), F.col("new_text").alias("_new"),
                      F.col("left").alias("_left"))
-    joined = rows.join(cut, ["_did", "_rid"], "left").where("_left IS NULL OR _left > 0")
-    text = F.coalesce("_new", "text")
-    changed = {"text": text}
+    key = ["_did", "_rid"]
+    few = broadcast_if_bounded(cut.select(*key), cut.count())
+    changed = {"text": F.col("_new")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_new").isNotNull(), F.length("_new").cast("long")).otherwise(F.col("n_chars"))
-    return joined.withColumns(changed).select(*docs.columns)
+        changed["n_chars"] = F.length("_new").cast(docs.schema["n_chars"].dataType)
+    rewritten = rows.drop("text").join(few, key, "left_semi").join(cut.where("_left > 0"), key).withColumns(changed)
+    return rows.join(few, key, "left_anti").select(*docs.columns).unionByName(rewritten.select(*docs.columns))
