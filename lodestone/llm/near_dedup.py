@@ -40,7 +40,7 @@ class NearDedup:
     bands: int = 32
     rows: int = 5
     fold_case: bool = True
-    block: int = 1000
+    block: int = 500
 
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -205,6 +205,8 @@ def leftover_links(compared: DataFrame, roots: DataFrame, how: NearDedup) -> Dat
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("a", F.least("block", "other").alias("lower"), F.greatest("block", "other").alias("upper"),
                        "block", "b", "n_b", "odd", "root")
+    # Dealt by pair of blocks: by centre alone all pairs of a large group would meet in one task.
+    rows = rows.repartition("a", "lower", "upper")
     return rows.groupBy("a", "lower", "upper").applyInPandas(
         lambda key, part: _leftover_links(key, part, how), "a long, b long")
 
