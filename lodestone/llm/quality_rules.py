@@ -39,8 +39,9 @@ class Band:
 class QualityRules:
     """Parameters: vocabulary files, base rules and the bands per script.
 
-    ``entropy`` is that of the token distribution over the largest possible for as many
-    tokens; ``top_share`` is the share of the most frequent token.
+    ``entropy`` is that of the token distribution in runs of ``run`` tokens, over the largest
+    possible in a run, so a text's length doesn't move the bar; ``top_share`` is the share of
+    the most frequent token. A run is as long as the shortest text that the bands judge.
     """
 
     pieces: str = "piece_bpe_32k.model"
@@ -48,6 +49,7 @@ class QualityRules:
     least_words: int = 20
     most_repeated: int = 30
     window: int = 8
+    run: int = 40
     bands: dict = field(default_factory=lambda: {
         "latin": Band(),
         "cyrillic": Band(chars_per_token=(0.9, 8.0)),
@@ -135,6 +137,19 @@ def duplicate_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+def run_entropy(ids: np.ndarray, run: int) -> float:
+    """Mean entropy (bits) of the runs of ``run`` tokens that cover a text; a shorter text is one run.
+
+    The last run ends with the text, so it may share tokens with the one before.
+    """
+    run = min(run, len(ids))
+    starts = np.arange(-(-len(ids) // run)) * run
+    starts[-1] = len(ids) - run
+    tokens = ids[starts[:, None] + np.arange(run)].astype(np.int64)
+    counts = np.unique(tokens + (np.arange(len(starts))[:, None] << 32), return_counts=True)[1]
+    return log2(run) - float((counts * np.log2(counts)).sum()) / tokens.size
+
+
 def judge(batches, rules: QualityRules, known: Remembered | None = None):
     known = known or Remembered(_pieces(rules), rules.cached_words)
     sp, is_byte, _ = _load(rules.pieces, rules.units)
@@ -162,7 +177,7 @@ def judge(batches, rules: QualityRules, known: Remembered | None = None):
                     seen = np.unique(ids, return_counts=True)[1] / total
                     fit = float(chars[k]) / n_units
                     n_bytes = float(is_byte[ids].mean())
-                    entropy = float(-(seen * np.log2(seen)).sum()) / max(1.0, log2(min(total, sp.vocab_size())))
+                    entropy = run_entropy(ids, rules.run) / max(1.0, log2(min(total, rules.run, sp.vocab_size())))
                     top = float(seen.max())
                 band = rules.bands[script]
                 good = total < band.least_tokens or (

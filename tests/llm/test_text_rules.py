@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from lodestone.llm.licenses import TEMPLATES, LicenseScan, automaton, scan_licenses
-from lodestone.llm.quality_rules import QualityRules, passing, quality_rules
+from lodestone.llm.quality_rules import QualityRules, passing, quality_rules, run_entropy
 from lodestone.llm.words import LOWER, Remembered, Words, expand, slices
 
 from .cases import awkward_docs, awkward_rows, empty_docs, lower, prose, words
@@ -69,6 +69,37 @@ def test_quality_rules_measure_tokens(spark):
     assert 0 < rows[1]["token_entropy"] <= 1
 
 
+CLEAN = {
+    "english": "the committee will meet again next week to discuss new budget and plans for old library near river bank",
+    "french": "le comité se réunit encore demain pour parler du nouveau budget et des projets de la vieille bibliothèque près",
+    "russian": "комитет снова соберётся на следующей неделе чтобы обсудить новый бюджет и планы старой библиотеки возле реки города",
+    "chinese": "委员会 下周 再次 开会 讨论 新的 预算 以及 旧 图书馆 的 计划 城市 河边 人们 学习 历史 文化 音乐 艺术",
+    "lao": "ສະບາຍດີ ປະເທດ ລາວ ພາສາ ເມືອງ ນ້ຳ ຄົນ ກິນ ເຂົ້າ ໂຮງຮຽນ ຄູ ນັກຮຽນ ປຶ້ມ ຕະຫຼາດ ເຮືອນ ມື້ນີ້ ດີ ຫຼາຍ ວັດ ພູເຂົາ",
+    "gujarati": "આજે શાળામાં બાળકો નવું પુસ્તક વાંચે છે અને શિક્ષક તેમને ઇતિહાસ વિશે સરળ ભાષામાં સમજાવે ગામ નદી પાસે આવેલું મોટું બજાર",
+    "amharic": "ሰላም ዛሬ ልጆች በትምህርት ቤት አዲስ መጽሐፍ ያነባሉ መምህሩ ስለ ታሪክ ይነግራቸዋል ከተማ ወንዝ አጠገብ ትልቅ ገበያ አለ ሰዎች ቡና ይጠጣሉ",
+    "burmese": "မြန်မာ နိုင်ငံ ကျောင်း ဆရာ ကလေး စာအုပ် ဖတ် မြစ် ဈေး အိမ် ထမင်း စား ရေ သောက် မြို့ လူ တောင် ယနေ့ ကောင်း သည်",
+}
+
+
+@pytest.mark.parametrize("name", CLEAN)
+def test_a_longer_clean_text_keeps_its_verdict(spark, name):
+    rng, vocabulary = random.Random(9), CLEAN[name].split()
+    rows = [(n, " ".join(rng.choices(vocabulary, k=40 * n))) for n in (1, 10, 100)]
+    found = {r["doc_id"]: r for r in quality_rules(awkward_docs(spark, rows)).collect()}
+    assert all(r["n_tokens"] >= 40 and r["kept"] for r in found.values())
+    assert abs(found[1]["token_entropy"] - found[100]["token_entropy"]) < 0.05
+
+
+def test_runs_cover_the_whole_text():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 39, 40, 41, 80, 999):
+        ids = rng.integers(0, 9, n).astype(np.int32)
+        size = min(40, n)
+        parts = [ids[a : a + size] for a in [*range(0, n - size, size), n - size]]
+        shares = [np.unique(p, return_counts=True)[1] / size for p in parts]
+        assert run_entropy(ids, 40) == pytest.approx(np.mean([-(p * np.log2(p)).sum() for p in shares]))
+
+
 def test_passing_keeps_rows_whole(spark):
     docs = awkward_docs(spark)
     kept = passing(docs)
