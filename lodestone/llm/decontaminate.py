@@ -9,7 +9,8 @@ bucket with the target recall (``walks`` times ``samples`` repetitions; tests me
 
 Windows of a text have the size of an item and stand where they can match at all: within
 the allowed edits at least ``words - 2 - 3 * edits`` of an item's three-word runs survive
-on neighbouring diagonals. This necessary condition drops no match. Windows that share a
+on neighbouring diagonals. This necessary condition drops no match. A window may begin before
+its text or end behind it; places outside hold padding. Windows that share a
 bucket with an item are verified by their exact word edit distance, over all starts and ends
 nearby. Words are lower-case (ASCII) runs of letters and digits.
 
@@ -174,22 +175,22 @@ class Items:
     def matches(self, words: Words):
         """{(text, item): (distance, start)} of all verified matches."""
         text, item, start = self.windows(words)
-        start = np.clip(start, words.first[text], np.maximum(words.first[text], words.first[text + 1] - 1))
         found, hashes, done = {}, words.hash, {}
         spots = np.unique(np.stack([text, start, self.size[item]]), axis=1)
         pairs = set()
         for at in range(0, spots.shape[1], 4096):
             t, s, n = spots[:, at : at + 4096]
             offset = np.arange(int(n.max()))
-            live = (offset < n[:, None]) & (s[:, None] + offset < words.first[t + 1][:, None])
-            symbols = np.where(live, hashes[np.minimum(s[:, None] + offset, len(hashes) - 1)], PAD)
+            place = s[:, None] + offset
+            live = (offset < n[:, None]) & (place >= words.first[t][:, None]) & (place < words.first[t + 1][:, None])
+            symbols = np.where(live, hashes[np.clip(place, 0, len(hashes) - 1)], PAD)
             keys = bucket_keys(symbols, n, self.how)
             for t, s, n, row in zip(t.tolist(), s.tolist(), n.tolist(), keys.tolist()):
                 for key in row:
                     pairs.update((t, k, s) for k in self.buckets.get((n, key), ()))
         for t, k, s in sorted(pairs):
             edits, n = int(self.edits[k]), int(self.size[k])
-            if done.get((t, k), -1) >= s:
+            if (t, k) in done and done[t, k] >= s:
                 continue
             a = max(s - edits, int(words.first[t]))
             b = min(s + n + edits, int(words.first[t + 1]))

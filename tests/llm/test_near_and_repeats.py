@@ -183,6 +183,24 @@ def test_decontamination_finds_edited_items(spark):
     assert {(r["doc_id"], r["item_id"]) for r in small.collect()} == {p for p in got if p[0] < 1000}
 
 
+def test_decontamination_finds_items_cut_off_at_a_text_s_ends(spark):
+    rng, how = random.Random(8), Decontamination()
+    items = [(i, prose(rng, n, 3000).replace(".", "")) for i, n in enumerate([10, 15, 20, 30, 40, 50, 120] * 6)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows, short = [], [(5000, None), (5001, ""), (5002, "one two")]
+    for i, text in items:
+        w, gone = text.split(), how.edits(len(text.split()))
+        rows += [(i, " ".join(w[gone:]) + " " + prose(rng, 40)), (1000 + i, prose(rng, 40) + " " + " ".join(w[: len(w) - gone])),
+                 (2000 + i, " ".join(w[gone:])), (3000 + i, " ".join(w[: len(w) - gone]))]
+    # In one task, so texts stand beside each other and before the first there is nothing.
+    found = contaminated(awkward_docs(spark, rows + short).coalesce(1), bench).collect()
+    got = {(r["doc_id"], r["item_id"]): (r["distance"], r["start"]) for r in found}
+    wanted = {(d, d % 1000) for d, _ in rows}
+    assert len(wanted - got.keys()) <= 2 and got.keys() <= wanted  # target recall 0.99
+    assert all(distance <= how.edits(len(items[i][1].split())) for (_, i), (distance, _) in got.items())
+    assert {start for (d, _), (_, start) in got.items() if d < 1000 or d >= 2000} == {0}
+
+
 def test_clean_drops_only_leaks(spark):
     rng = random.Random(6)
     item = prose(rng, 30)
