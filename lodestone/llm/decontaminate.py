@@ -40,12 +40,20 @@ class Decontamination:
     walks: int = 8
     samples: int = 16
     places: int = 3
+    fewer_places: tuple = (40, 150)
     items_a_block: int = 20_000
     seed: int = 3
 
     def edits(self, n: int) -> int:
         return 0 if n < self.exact_below else n // self.edits_in
 
+    def places_of(self, n: int) -> int:
+        """Places of an item of ``n`` words: one less from each length of ``fewer_places`` on.
+
+        A long item's walks drift further apart with its edits, so fewer places agree at once.
+        """
+        return max(1, self.places - sum(n >= least for least in self.fewer_places))
+
     def least_grams(self, n: int) -> int:
         return max(1, n - self.gram + 1 - self.gram * self.edits(n))
 
@@ -70,7 +78,7 @@ def cgk(symbols: np.ndarray, walk: int, steps: int) -> np.ndarray:
 def sampled_places(how: Decontamination, n: int) -> np.ndarray:
     """The places of the embedding that each repetition looks at, for rows of ``n`` words."""
     rng = np.random.default_rng([how.seed, n])
-    few = min(how.places, 2 * n)
+    few = min(how.places_of(n), 2 * n)
     drawn = rng.random((how.walks, how.samples, 2 * n)).argsort(axis=2)[:, :, :few]
     return np.concatenate([drawn, np.repeat(drawn[:, :, :1], how.places - few, axis=2)], axis=2)
 

@@ -5,13 +5,15 @@ import random
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.llm.decontaminate import Decontamination, best_match, clean, contaminated
+from lodestone.llm.decontaminate import Decontamination, Items, best_match, clean, contaminated
 from lodestone.llm.near_dedup import NearDedup, near_duplicates, one_permutation, representatives
 from lodestone.llm.substring_dedup import SubstringDedup, repeated_digests, without_repeats
 from lodestone.llm.tables import components, numbered, stored
+from lodestone.llm.words import LOWER, NOT_ALNUM, Words
 
 from .cases import awkward_docs, awkward_rows, edit_distance, empty_docs, jaccard_groups, kept_words, prose, words
 
@@ -183,6 +185,22 @@ def test_decontamination_finds_edited_items(spark):
     assert {(r["doc_id"], r["item_id"]) for r in small.collect()} == {p for p in got if p[0] < 1000}
 
 
+@pytest.mark.parametrize("n", [20, 50, 120, 200])
+@pytest.mark.parametrize("kind", ["swap", "insert", "delete"])
+def test_decontamination_recall_at_the_full_edit_budget(n, kind):
+    rng, how, docs = random.Random(n), Decontamination(), []
+    items = [[f"w{rng.randrange(3000)}" for _ in range(n)] for _ in range(30)]
+    for item in items:
+        w = list(item)
+        for k in range(how.edits(n)):
+            at = rng.randrange(len(w))
+            w[at : at + (kind != "insert")] = [] if kind == "delete" else [f"new{k}"]
+        docs.append(prose(rng, 40) + " " + " ".join(w) + " " + prose(rng, 40))
+    machine = Items(list(range(30)), [" ".join(item) for item in items], how)
+    found = machine.matches(Words(pa.array(docs), NOT_ALNUM, LOWER))
+    assert sum((i, i) in found for i in range(30)) >= 29
+
+
 def test_decontamination_finds_items_cut_off_at_a_text_s_ends(spark):
     rng, how = random.Random(8), Decontamination()
     items = [(i, prose(rng, n, 3000).replace(".", "")) for i, n in enumerate([10, 15, 20, 30, 40, 50, 120] * 6)]
