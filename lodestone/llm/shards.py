@@ -92,7 +92,7 @@ def assign_shards(docs: DataFrame, ring: Ring | None = None) -> DataFrame:
     total = sum(counts.values())
     ranges = fill([counts.get(a, 0) for a in range(len(points))], [s for _, s in points], bounds(total, ring.shards))
     plan = spark.createDataFrame(ranges, "arc int, low long, high long, shard int, base long")
-    placed = numbered(rows, ["arc"], ["position"], many=-(-total // len(points)))
+    placed = numbered(rows, ["arc"], ["position"], many=max(counts.values(), default=0))
     return (
         placed.join(F.broadcast(plan), "arc")
         .where((F.col("place") >= F.col("low")) & (F.col("place") < F.col("high")))

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from lodestone.llm import shards
 from lodestone.llm.chat import ChatTemplate, chat_digests, escape, format_chats, read_back, unescape
 from lodestone.llm.packing import Packing, TokenIds, best_filling, pack, plan_windows
 from lodestone.llm.shards import Ring, assign_shards, bounds, fill
@@ -180,3 +181,11 @@ def test_pieces_cover_documents_and_fill_sequences(spark, rows):
     total = sum(r["length"] for r in found)
     assert len(sequences) <= total / 4096 + 2
     assert pack(empty_docs(spark)).count() == 0
+
+
+def test_shards_number_the_fullest_arc_in_bounded_blocks(spark, monkeypatch):
+    asked, numbered = [], shards.numbered
+    monkeypatch.setattr(shards, "numbered", lambda *a, **b: asked.append(b["many"]) or numbered(*a, **b))
+    rows = [(None if k % 3 else k, "x") for k in range(300)]
+    assert assign_shards(awkward_docs(spark, rows)).count() == 300
+    assert asked[0] >= 200
