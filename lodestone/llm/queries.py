@@ -8,11 +8,14 @@ from .decontaminate import contaminated
 from .licenses import scan_licenses
 from .near_dedup import near_duplicates
 from .packing import pack
+from .prefix_trie import TRIE_SQL, prefix_trie
 from .quality_rules import quality_rules
 from .shards import assign_shards
 from .substring_dedup import repeated_digests
 from .tables import table
 from .toxicity import score_toxicity
+from .url_filters import filter_urls, rule_and_term_sql
+from .whitening import whiten
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +58,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontamination": op2_decontamination,
@@ -66,6 +81,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_url_filters": op11_url_filters,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 # Conversation -1 is the probe; a control string in a text takes two more characters, as does
@@ -147,4 +165,6 @@ SQL = {
     "op1_substring_dedup": REPEATS_SQL,
     "op3_chat_formatting": CHAT_SQL,
     "op5_minhash_near_dedup": NEAR_SQL,
+    "op11_url_filters": rule_and_term_sql(),
+    "op12_prefix_trie": TRIE_SQL,
 }
