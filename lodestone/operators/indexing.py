@@ -13,7 +13,7 @@ from ..functions.stopwords import index_stopwords
 from ..functions.text import bucket_of, term_bucket, tokenize
 from ..plans.layout import cluster_by_bucket
 from ..plans.runtime import stored_table
-from ..plans.sizing import MAX_BROADCAST_ROWS
+from ..plans.sizing import MAX_BROADCAST_ROWS, broadcast_if_bounded
 from ..plans.skew import salted_join
 
 
@@ -25,7 +25,8 @@ class Index:
     through ``term_stats``, which every query joins anyway. ``n_buckets`` is set
     if ``postings`` has the bucket column of a stored index, ``documents`` (doc_id)
     if the index keeps the ids it holds, and ``cuts`` if it keeps the ids that
-    split its documents into blocks (``doc_cuts``).
+    split its documents into blocks (``doc_cuts``). ``increments`` is set if
+    ``term_stats`` is the sum of increments (term, df, cf) of several segments.
     """
 
     postings: DataFrame
@@ -35,6 +36,7 @@ class Index:
     n_buckets: int | None = None
     documents: DataFrame | None = None
     cuts: list | None = None
+    increments: DataFrame | None = None
 
     @property
     def doc_ids(self) -> DataFrame:
@@ -54,6 +56,16 @@ class Index:
         """Statistics of the terms above the threshold."""
         return self.term_stats.where(F.col("df") > self.min_df)
 
+    def statistics_of(self, wanted: DataFrame) -> DataFrame:
+        """(term, df, cf) of the terms in ``wanted``, however frequent.
+
+        Increments are picked before they are summed, so a few terms do not shuffle the
+        whole vocabulary.
+        """
+        if self.increments is None:
+            return self.term_stats.join(wanted, "term", "left_semi")
+        return summed(self.increments.join(wanted, "term", "left_semi"), "term", "df", "cf")
+
     @property
     def retained(self) -> DataFrame:
         """Postings of the terms above the threshold."""
@@ -61,6 +73,11 @@ class Index:
             self.postings, self.term_stats, self.min_df, self.n_buckets is not None)
 
 
+def summed(increments: DataFrame, key: str, *columns: str) -> DataFrame:
+    """The increments of each key added up."""
+    return increments.groupBy(key).agg(*[F.sum(c).alias(c) for c in columns])
+
+
 def term_occurrences(docs: DataFrame, stopwords=None) -> DataFrame:
     """One row (term, doc_id) per token of (doc_id, text) that is not a stopword."""
     words = index_stopwords() if stopwords is None else list(stopwords)
@@ -69,11 +86,13 @@ def term_occurrences(docs: DataFrame, stopwords=None) -> DataFrame:
     )
 
 
-def count_tokens(docs: DataFrame) -> DataFrame:
+def count_tokens(docs: DataFrame, marked: bool = False) -> DataFrame:
     """(term, doc_id, tf) of (doc_id, tokens), counted inside each row.
 
     Tokens are sorted and runs of equal ones measured, so counting needs no
-    shuffle. A doc_id is expected on one row only (``require_unique``).
+    shuffle. A doc_id is expected on one row only (``require_unique``). If ``marked``,
+    the first posting of each row carries the row's length and norm in a column ``head``,
+    which is null on all others.
     """
     none = F.array()
     words = docs.select(
@@ -86,10 +105,19 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     runs = words.select("doc_id", "words", starts.alias("starts"))
     bounds = F.concat("starts", F.array(F.size("words")))
     ends = F.slice(bounds, 2, F.size("starts"))
-    counts = F.zip_with("starts", ends, lambda start, end: F.struct(
-        word[start].alias("term"), (end - start).cast("bigint").alias("tf")))
+    if marked:
+        squares = F.aggregate(F.zip_with("starts", ends, lambda start, end: (end - start).cast("bigint")),
+                              F.lit(0).cast("bigint"), lambda total, tf: total + tf * tf)
+        # Within the first run, so that no array is carried along with every posting.
+        head = F.named_struct(F.lit("dl"), F.size("words").cast("bigint"), F.lit("nf"), squares)
+
+    def run(start, end):
+        found = [word[start].alias("term"), (end - start).cast("bigint").alias("tf")]
+        return F.struct(*found, F.when(start == 0, head).alias("head")) if marked else F.struct(*found)
+
+    counts = F.zip_with("starts", ends, run)
     return runs.select("doc_id", F.explode(counts).alias("run")).select(
-        "run.term", "doc_id", "run.tf")
+        "run.term", "doc_id", "run.tf", *(["run.head"] if marked else []))
 
 
 def term_frequencies(docs: DataFrame, stopwords=None) -> DataFrame:
@@ -103,16 +131,20 @@ def require_unique(docs: DataFrame, known: DataFrame | None = None) -> DataFrame
     """``docs`` itself, after a check that no doc_id stands on two rows or is in ``known``.
 
     Only ids are read and shuffled. A second posting of one term and document would
-    count that document twice.
+    count that document twice. Builds that store their postings (``index_documents``,
+    ``append_index``) test this within the aggregate that they need anyway.
     """
-    twice = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    refuse(docs.groupBy("doc_id").count().where("count > 1"))
     if known is not None:
-        twice = twice.unionByName(
-            docs.select("doc_id").join(known.select("doc_id"), "doc_id", "left_semi"))
-    bad = [row["doc_id"] for row in twice.limit(5).collect()]
+        refuse(docs.join(known.select("doc_id"), "doc_id", "left_semi"))
+    return docs
+
+
+def refuse(documents: DataFrame) -> None:
+    """Raise an error that names some of the documents, if there are any."""
+    bad = [row["doc_id"] for row in documents.select("doc_id").limit(5).collect()]
     if bad:
         raise ValueError(f"documents that are there already or come twice: {bad}")
-    return docs
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:
@@ -146,6 +178,32 @@ def document_statistics(postings: DataFrame) -> DataFrame:
     )
 
 
+def document_facts(postings: DataFrame, term_stats: DataFrame, min_df: int) -> DataFrame:
+    """(doc_id, dl, nf, rows) of all documents with a posting, in one aggregate.
+
+    Lengths and norms count the terms above the threshold only, and are 0 for documents
+    without any. ``term_stats`` is a stored table. Marked postings (``count_tokens``) bring
+    each document's whole length and norm along, from which the rare terms are subtracted:
+    only one posting a document and those of rare terms are shuffled, and ``rows`` tells on
+    how many rows a document came. Other postings are all shuffled, and ``rows`` is 1.
+    """
+    tf, frequent = F.col("tf"), F.lit(True)
+    if min_df > 0:
+        known = term_stats.where(F.col("df") > min_df).select("term", F.lit(True).alias("frequent"))
+        postings = postings.join(broadcast_if_bounded(known, known.count()), "term", "left")
+        frequent = F.col("frequent").isNotNull()
+    if "head" not in postings.columns:
+        dl, nf, rows = F.when(frequent, tf), F.when(frequent, tf * tf), F.lit(1)
+    else:
+        postings = postings.where(F.col("head").isNotNull() | ~frequent)
+        dl, nf = (F.coalesce(F.col("head")[name], F.lit(0)) - F.when(frequent, 0).otherwise(rare)
+                  for name, rare in (("dl", tf), ("nf", tf * tf)))
+        rows = F.count("head")
+    return postings.groupBy("doc_id").agg(
+        F.coalesce(F.sum(dl), F.lit(0)).alias("dl"), F.coalesce(F.sum(nf), F.lit(0)).alias("nf"),
+        rows.cast("bigint").alias("rows"))
+
+
 def raw_doc_length(docs: DataFrame) -> DataFrame:
     """Number of tokens of (doc_id, tokens), before any pruning."""
     return docs.groupBy("doc_id").agg(

@@ -36,7 +36,12 @@ def matching_postings(batch: QueryBatch, terms: DataFrame, index: Index) -> Data
     if index.n_buckets:
         terms = terms.withColumn("bucket", term_bucket("term", index.n_buckets))
         keys = ["bucket", "term"]
-    known = index.terms.select("term", "df").join(batch.broadcast_terms(terms), "term")
+    terms = batch.broadcast_terms(terms)
+    if index.increments is None:
+        known = index.terms.select("term", "df")
+    else:
+        known = index.statistics_of(terms).where(F.col("df") > index.min_df).select("term", "df")
+    known = known.join(terms, "term")
     if not batch.terms_fit:
         return salted_join(index.postings, known, keys, "doc_id")
     return index.postings.join(batch.broadcast_terms(known), keys)

@@ -19,8 +19,14 @@ POSTINGS = T.StructType([
     T.StructField("bucket", T.LongType()),
 ])
 
-# As stored: every addition to an index has a batch number.
-STORED_POSTINGS = T.StructType([*POSTINGS.fields, T.StructField("batch", T.LongType())])
+# As stored: every segment of an index has a number, the batch that it was written by, and one
+# posting of each document carries the document's whole length and norm.
+HEAD = T.StructField("head", T.StructType([
+    T.StructField("dl", T.LongType()),
+    T.StructField("nf", T.LongType()),
+]))
+MARKED_POSTINGS = T.StructType([*POSTINGS.fields, HEAD])
+STORED_POSTINGS = T.StructType([*MARKED_POSTINGS.fields, T.StructField("batch", T.LongType())])
 
 TERM_STATS = T.StructType([
     T.StructField("term", T.StringType()),

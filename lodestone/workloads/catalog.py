@@ -399,6 +399,22 @@ def append_index(spark, sf):
     return _index_rows(io.read_index(spark, work.folder("appended", build)))
 
 
+@query
+def compact_index(spark, sf):
+    """The same in three additions, then merged into one segment."""
+    work = Workspace(spark, sf)
+
+    def build(path):
+        first, rest = _labelled_first(spark, sf, "labelled")
+        old = io.read_index(spark, first)
+        io.write_index(ix.Index(old.postings, None, None, old.min_df), path, N_BUCKETS)
+        for part in range(3):
+            io.append_index(spark, path, rest.where(F.pmod("doc_id", F.lit(3)) == part))
+        io.compact_index(spark, path)
+
+    return _index_rows(io.read_index(spark, work.folder("compacted", build)))
+
+
 @query
 def avg_doc_length(spark, sf):
     work = Workspace(spark, sf)

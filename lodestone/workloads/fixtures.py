@@ -16,7 +16,7 @@ from ..operators.indexing import (
 from ..operators.queries import query_term_counts
 from ..plans.runtime import scratch_path
 from ..schemas import CORPUS
-from ..sources.index_store import read_index, write_index
+from ..sources.index_store import index_documents, read_index, write_index
 from ..sources.pageviews import pageviews_by_article, parse_pageview_line
 
 BODY_MIN_DF = 50
@@ -129,6 +129,7 @@ class Workspace:
     """Stored indexes and priors of one data folder, built once per application."""
 
     _built: dict = {}
+    _read: dict = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -145,9 +146,18 @@ class Workspace:
         return path
 
     def _index(self, name, postings, min_df):
-        path = self.folder(name, lambda p: write_index(
-            Index(postings(), None, None, min_df), p, N_BUCKETS))
-        return read_index(self.spark, path)
+        return self._kept(self.folder(name, lambda p: write_index(
+            Index(postings(), None, None, min_df), p, N_BUCKETS)))
+
+    def _text_index(self, name, docs, min_df):
+        return self._kept(self.folder(name, lambda p: index_documents(
+            docs(), p, min_df, n_buckets=N_BUCKETS)))
+
+    def _kept(self, path) -> Index:
+        """A stored index, whose settings and files are looked up once."""
+        if path not in self._read:
+            self._read[path] = read_index(self.spark, path)
+        return self._read[path]
 
     def _frame(self, name, frame) -> DataFrame:
         path = self.folder(name, lambda p: frame().write.mode("overwrite").parquet(p))
@@ -162,7 +172,7 @@ class Workspace:
 
     @property
     def body(self) -> Index:
-        return self._index("body", lambda: term_frequencies(bodies(self.corpus)), BODY_MIN_DF)
+        return self._text_index("body", lambda: bodies(self.corpus), BODY_MIN_DF)
 
     @property
     def title(self) -> Index:

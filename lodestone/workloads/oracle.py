@@ -391,6 +391,7 @@ def oracle_sql() -> dict[str, str]:
         "raw_doc_length": f"SELECT doc_id, len({tokens('text')}) AS dl FROM documents",
         "index_from_tokens": c(_index_rows("tokens"), "tokens", "tokens_terms", "tokens_docs"),
         "append_index": c(_index_rows("body"), "body", "body_terms", "body_docs"),
+        "compact_index": c(_index_rows("body"), "body", "body_terms", "body_docs"),
         "add_documents": c(_stat_rows("body"), "body_terms", "body_docs"),
         "avg_doc_length": c("SELECT round(avgdl, 6) AS avgdl FROM avgdl", "avgdl"),
         "title_lookup": c("SELECT doc_id, dl, title FROM body_docs JOIN titles USING (doc_id)", "body_docs", "titles"),
