@@ -18,9 +18,14 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.passing(docs)
 
 
+# Stages on word shingles take five words and a similarity of 0.8; op5 has a contract of its own.
+# 32 bands of 5 miss a pair at 0.8 with probability 3e-6.
+NEAR = near_dedup.NearDedup(shingle=5, percent=80)
+
+
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
-    return near_dedup.representatives(docs)
+    return near_dedup.representatives(docs, NEAR)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
