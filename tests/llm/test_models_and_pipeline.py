@@ -121,7 +121,7 @@ def test_pipeline_stages_take_effect(spark):
         assert docs.columns == before.columns and docs.count() <= before.count()
         text[name] = [(r["doc_id"], r["text"]) for r in docs.orderBy("doc_id").collect()]
     assert all(len(words(t)) >= 20 for _, t in text["quality rules"])
-    groups = jaccard_groups(text["quality rules"])
+    groups = jaccard_groups(text["quality rules"], shingle=5, percent=80)
     assert [i for i, _ in text["near-dedup"]] == sorted(i for i, (_, c) in groups.items() if i == c)
     wanted = {i: left for i, (w, left) in kept_words(text["near-dedup"]).items() if left}
     assert {i: words(t) for i, t in text["substring dedup"]} == wanted
