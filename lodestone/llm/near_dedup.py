@@ -15,7 +15,9 @@ star shape, and no pair becomes a row before it is confirmed.
 
 Null or empty texts have an empty set and are linked with nothing. Texts with fewer words
 than a shingle have their whole sequence as the one element. A document id is one vertex:
-rows that repeat it share a component. A row without id is linked with nothing and kept.
+rows that repeat it share a component, unless they are empty. Each different set is compared
+once, however many rows repeat an id or its texts. A row without id is linked with nothing
+and kept.
 """
 
 from dataclasses import dataclass
@@ -44,6 +46,12 @@ class NearDedup:
 
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+# What tells classes apart.
+KEY = ("key_a", "key_b", "n_shingles")
+
+
+def _class():
+    return F.struct(*KEY).alias("cls")
 
 
 def _one(x: int) -> np.uint64:
@@ -106,7 +114,7 @@ def _signatures(batches, how: NearDedup):
                 kept = [sets[i] for i in full]
                 bands = band_codes(one_permutation(kept, how.bands * how.rows), how)
                 for i, s in zip(full, kept):
-                    keys[:, i] = mix(s).sum(), mix(s + np.uint64(0xABCDEF)).sum()
+                    keys[:, i] = _set_keys(s)
             offsets = np.concatenate([[0], np.cumsum((sizes > 0) * how.bands)])
             yield pa.RecordBatch.from_arrays([
                 strings(part.column("doc_id")).cast(pa.int64()), pa.array(sizes),
@@ -115,28 +123,52 @@ def _signatures(batches, how: NearDedup):
             ], ["doc_id", "n_shingles", "key_a", "key_b", "bands"])
 
 
+def _set_keys(s: np.ndarray):
+    """128 bits that stand for a set."""
+    return mix(s).sum(), mix(s + np.uint64(0xABCDEF)).sum()
+
+
 def _sets(batches, how: NearDedup):
-    last = None
     for batch in batches:
         for part in slices(batch):
-            part = part.filter(pa.array([last != (last := row) for row in zip(*part.to_pydict().values())]))
             words = Words(strings(part.column("text")), fold=LOWER if how.fold_case else AS_IS)
             sets = list(shingle_sets(words, how.shingle))
+            keys = np.array([_set_keys(s) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
             values = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
             yield pa.RecordBatch.from_arrays([
-                strings(part.column("cls")).cast(pa.int64()),
+                strings(part.column("doc_id")).cast(pa.int64()),
+                pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(np.diff(offsets)),
                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values)),
-            ], ["cls", "shingles"])
+            ], ["id", *KEY, "shingles"])
+
+
+def class_sets(rows: DataFrame, classes: DataFrame, wanted: DataFrame, again: DataFrame, how: NearDedup) -> DataFrame:
+    """(cls, shingles): the set of each wanted class, once.
+
+    ``wanted`` are the ids whose texts are read, ``again`` the ids on several rows. Only those
+    can bring a set twice, or that of another id's class: their rows are reduced to different
+    texts, and then to one set for each class of theirs.
+    """
+    kinds = "id long, key_a long, key_b long, n_shingles long, shingles array<long>"
+    texts = rows.join(wanted, "doc_id", "left_semi")
+    once = in_arrow(texts.join(again, "doc_id", "left_anti"), lambda b: _sets(b, how), kinds)
+    several = in_arrow(texts.join(again, "doc_id", "left_semi").distinct(), lambda b: _sets(b, how), kinds)
+    several = several.join(classes, ["id", *KEY], "left_semi").groupBy("id", *KEY).agg(
+        F.first("shingles").alias("shingles"))
+    return once.unionByName(several).select(_class(), "shingles")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with their set sizes, the size of the overlap, and what only one has."""
-    left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("set_b"))
+    """Pairs of classes with their set sizes, the size of the overlap, and what only one has.
+
+    A class has one set, so a pair is one row.
+    """
+    left = sets.select(F.col("cls").alias("class_a"), F.col("shingles").alias("set_a"))
+    right = sets.select(F.col("cls").alias("class_b"), F.col("shingles").alias("set_b"))
     return (
-        pairs.join(left, "a").join(right, "b")
-        .select("a", "b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"),
+        pairs.join(left, "class_a").join(right, "class_b")
+        .select("class_a", "class_b", "a", "b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"),
                 F.concat(F.array_except("set_a", "set_b"), F.array_except("set_b", "set_a")).alias("odd"))
     )
 
@@ -153,7 +185,7 @@ def _leftover_links(key, rows, how: NearDedup):
     the shingles odd to the centre give their exact similarity. As many links are returned
     as join components, fewer than members.
     """
-    _, low, high = key
+    *_, low, high = key
     rows = rows.sort_values("b").reset_index(drop=True)
     root, n = rows["root"].to_numpy(), rows["n_b"].to_numpy().astype(np.int64)
     sizes = rows["odd"].map(len).to_numpy()
@@ -194,20 +226,21 @@ def _leftover_links(key, rows, how: NearDedup):
 def leftover_links(compared: DataFrame, roots: DataFrame, how: NearDedup) -> DataFrame:
     """Links that the star edges leave out, for groups whose members lie in several components."""
     placed = compared.join(roots, compared["b"] == roots["id"], "left").select(
-        "a", "b", "n_b", "odd", F.coalesce("root", "b").alias("root"))
+        "class_a.key_a", "class_a.key_b", "b", "n_b", "odd", F.coalesce("root", "b").alias("root"))
+    centre = ["key_a", "key_b"]
     groups = (
-        placed.groupBy("a")
+        placed.groupBy(*centre)
         .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
         .where("low < high")
-        .select("a", F.ceil(F.col("members") / how.block).cast("int").alias("blocks"))
+        .select(*centre, F.ceil(F.col("members") / how.block).cast("int").alias("blocks"))
     )
-    rows = placed.join(groups, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
+    rows = placed.join(groups, centre).withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("a", F.least("block", "other").alias("lower"), F.greatest("block", "other").alias("upper"),
+    rows = rows.select(*centre, F.least("block", "other").alias("lower"), F.greatest("block", "other").alias("upper"),
                        "block", "b", "n_b", "odd", "root")
     # Dealt by pair of blocks: by centre alone all pairs of a large group would meet in one task.
-    rows = rows.repartition("a", "lower", "upper")
-    return rows.groupBy("a", "lower", "upper").applyInPandas(
+    pair = [*centre, "lower", "upper"]
+    return rows.repartition(*pair).groupBy(*pair).applyInPandas(
         lambda key, part: _leftover_links(key, part, how), "a long, b long")
 
 
@@ -219,29 +252,34 @@ def near_duplicates(docs: DataFrame, how: NearDedup | None = None) -> DataFrame:
         rows, lambda batches: _signatures(batches, how),
         "doc_id long, n_shingles long, key_a long, key_b long, bands array<long>"), "signatures")
 
-    key = ["key_a", "key_b", "n_shingles"]
+    again = stored(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+                   .select("doc_id"), "again")
+    again = broadcast_if_bounded(again, again.count())
     classes = stored(
-        found.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key)
-        .agg(F.min("doc_id").alias("cls"), F.first("bands").alias("bands")), "classes")
-    banded = classes.select("cls", F.explode("bands").alias("bucket"))
+        found.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*KEY)
+        .agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes")
+    banded = classes.select(F.struct("id", _class()).alias("one"), F.explode("bands").alias("bucket"))
     starts = (
-        banded.groupBy("bucket").agg(F.min("cls").alias("a"), F.max("cls").alias("most"))
-        .where("a < most").select("bucket", "a")
+        banded.groupBy("bucket").agg(F.min("one").alias("centre"), F.max("one").alias("most"))
+        .where("centre < most").select("bucket", "centre")
     )
-    pairs = stored(banded.join(starts, "bucket").where("cls > a")
-                   .select("a", F.col("cls").alias("b")).distinct(), "pairs")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "wanted")
+    pairs = stored(banded.join(starts, "bucket").where("one > centre").select(
+        F.col("centre.cls").alias("class_a"), F.col("one.cls").alias("class_b"),
+        F.col("centre.id").alias("a"), F.col("one.id").alias("b")).distinct(), "pairs")
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
     wanted = broadcast_if_bounded(wanted, wanted.count())
-    texts = rows.join(wanted, rows["doc_id"] == wanted["cls"]).select("cls", "text")
-    sets = stored(in_arrow(texts, lambda batches: _sets(batches, how), "cls long, shingles array<long>"), "sets")
+    sets = stored(class_sets(rows, classes, wanted, again, how), "sets")
     compared = stored(_compared(pairs, sets), "compared")
     near = _similar(F.col("n_a"), F.col("n_b"), F.size("odd"), how.percent)
-    links = stored(compared.where(near).select("a", "b"), "links")
+    # An id whose rows belong to several classes links these.
+    held = (found.where("n_shingles > 0").join(again, "doc_id", "left_semi").join(classes, list(KEY))
+            .select(F.col("doc_id").alias("a"), F.col("id").alias("b")).distinct())
+    links = stored(compared.where(near).select("a", "b").unionByName(held).where("a <> b"), "links")
     more = stored(leftover_links(compared, stored(components(links), "roots"), how), "links")
     roots = stored(components(links.unionByName(more)), "roots")
 
-    placed = classes.select(*key, "cls").join(roots, classes["cls"] == roots["id"], "left")
-    placed = placed.select(*[F.col(k).alias(f"{k}_") for k in key], F.coalesce("root", "cls").alias("found"))
+    placed = classes.select(*KEY, F.col("id").alias("first")).join(roots, F.col("first") == F.col("id"), "left")
+    placed = placed.select(*[F.col(k).alias(f"{k}_") for k in KEY], F.coalesce("root", "first").alias("found"))
     same = (F.col("key_a") == F.col("key_a_")) & (F.col("key_b") == F.col("key_b_")) & (
         F.col("n_shingles") == F.col("n_shingles_"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))

@@ -61,6 +61,29 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert {i for i in ids if i is not None} == {i for i, (_, c) in wanted.items() if i == c}
 
 
+def test_repeated_ids_are_compared_once_a_class(spark, monkeypatch):
+    """Rows that repeat two near ids in turns, with texts that come and go, make one row a pair of classes."""
+    from lodestone.llm import near_dedup
+
+    rng = random.Random(3)
+    base = prose(rng, 90, 5000)
+    near, far = base.replace(" ", " \t", 30) + " one", prose(rng, 90, 5000)
+    rows = [(1 + k % 2, (base, near)[k % 2] + " " * (k % 7)) for k in range(300)]
+    # The same id with a text of its own, with another id's text, and with an empty one.
+    rows += [(2, far), (5, far), (2, None), (7, "alone"), (7, base + " two"), (9, far + " three"), (9, far + " three")]
+    rng.shuffle(rows)
+    seen = []
+    kept = near_dedup._compared
+    monkeypatch.setattr(near_dedup, "_compared", lambda *a: seen.append(kept(*a)) or seen[-1])
+    found = near_duplicates(awkward_docs(spark, rows)).collect()
+    assert len(found) == len(rows)
+    # Classes: base, near and base + two; far and far + three; alone.
+    assert 3 <= seen[0].count() <= 4 and seen[0].select("class_a", "class_b").distinct().count() == seen[0].count()
+    for r in found:
+        empty = r["doc_id"] == 2 and not r["n_shingles"]
+        assert r["component_id"] == (2 if empty else 1), r
+
+
 def test_permutation_bins_match_as_often_as_sets_overlap():
     rng = np.random.default_rng(1)
     for size in (7, 60, 2000):
