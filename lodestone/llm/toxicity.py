@@ -1,15 +1,18 @@
 """Toxicity scores by a bidirectional gated recurrent network with attention pooling.
 
 Each word enters by two inputs: an embedding of the word and the scaled sum of embeddings of its
-character runs (both hashed to tables of fixed size). Two gated recurrent layers read a
+character runs (both hashed to tables of fixed size). A third number tells how much more often
+the word, or one of its beginnings, stands in toxic texts of the sample than in clean ones; in
+training it is taken from texts of other parts of the sample, so that the network learns how far
+such odds hold for texts that they were not counted on. Two gated recurrent layers read a
 window of words in both directions, attention weighs their states, and a logistic output
 scores the window. Every text is cut into overlapping windows that cover it whole. Its score
 is a logistic function of its highest window and of the mean of all its windows' scores,
 fitted on held-back training texts.
 
 Labels tell of texts, not of windows, so training asks for one toxic window in a toxic text:
-first the window whose words speak most for toxicity by their counts in the sample, later the
-one that the network itself scores highest; of clean texts a random and the highest window
+first the window with the word of the highest odds, later the one that the network itself
+scores highest; of clean texts a random and the highest window
 count. The network is fitted in one task on a bounded sample of labelled rows
 (``most_toxic`` and ``most_clean`` texts, those with the smallest hash of their id).
 
@@ -33,22 +36,27 @@ from .words import LOWER, NOT_ALNUM, Words, mix, slices, strings
 class ToxicityModel:
     window: int = 32
     stride: int = 24
-    hidden: int = 12
+    hidden: int = 8
     size: int = 16
     attention: int = 12
     words: int = 8192
     grams: int = 65536
     gram_bytes: tuple = (3, 6)
+    beginnings: tuple = (3, 8)
+    odds: int = 1 << 18
+    least_texts: int = 3
+    parts: int = 5
     most_toxic: int = 1500
     most_clean: int = 3000
-    rounds: tuple = (6, 5, 5)
+    rounds: tuple = (2, 2)
     batch: int = 256
     rate: float = 0.01
+    spread: float = 0.03
     held_back: float = 0.2
     folds: int = 3
     held_out_fold: int = 1
     threshold: float = 0.7
-    seed: int = 11
+    seed: int = 7
 
 
 def vocabulary(words: Words, model: ToxicityModel):
@@ -81,6 +89,56 @@ def vocabulary(words: Words, model: ToxicityModel):
     return inverse, bucket, grams[order], np.cumsum(counts) - counts, counts
 
 
+def word_beginnings(words: Words, model: ToxicityModel):
+    """(bucket, row) of every beginning of the distinct words, and of the words themselves."""
+    _, at = np.unique(words.hash, return_index=True)
+    start, size = words.start[at], words.end[at] - words.start[at]
+    buckets = [mix(words.hash[at] + np.uint64(1))]
+    rows, code = [np.arange(len(at))], np.zeros(len(at), np.uint64)
+    low, high = model.beginnings
+    for k in range(1, high + 1):
+        long = np.flatnonzero(size >= k)
+        letters = words.fold[words.data[start[long] + k - 1]].astype(np.uint64)
+        code[long] = mix(code[long] * np.uint64(0x100000001B3) + letters + np.uint64(1))
+        if k >= low:
+            buckets.append(code[long])
+            rows.append(long)
+    return (np.concatenate(buckets) % np.uint64(model.odds)).astype(np.int64), np.concatenate(rows)
+
+
+def word_odds(words: Words, rows, toxic: np.ndarray, part: np.ndarray, use: np.ndarray, model: ToxicityModel):
+    """Log odds of buckets to be in a toxic text: by all texts in ``use``, and without each part of them.
+
+    Odds below even, and of buckets in fewer than ``least_texts`` toxic texts, are 0.
+    """
+    bucket, row = word_beginnings(words, model)
+    order = np.argsort(row, kind="stable")
+    bucket, many = bucket[order], np.bincount(row, minlength=int(rows.max(initial=-1)) + 1)
+    begin = np.cumsum(many) - many
+    counts = np.zeros((model.parts, 2, model.odds), np.float32)
+    texts = np.zeros((model.parts, 2))
+    for t in np.flatnonzero(use):
+        own = np.unique(rows[words.first[t] : words.first[t + 1]])
+        take = np.arange(many[own].sum()) + np.repeat(begin[own] - np.cumsum(many[own]) + many[own], many[own])
+        counts[part[t], toxic[t], np.unique(bucket[take])] += 1
+        texts[part[t], toxic[t]] += 1
+    whole, tables = counts.sum(0), []
+    for k in range(-1, model.parts):
+        good, bad = whole if k < 0 else whole - counts[k]
+        n_good, n_bad = texts.sum(0) if k < 0 else texts.sum(0) - texts[k]
+        odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((good + 0.5) / (n_good + 1))
+        tables.append(np.where(bad >= model.least_texts, np.maximum(odds, 0), 0).astype(np.float32))
+    return tables[0], tables[1:]
+
+
+def odds_of(words: Words, table: np.ndarray, model: ToxicityModel) -> np.ndarray:
+    """Each distinct word's highest odds."""
+    bucket, row = word_beginnings(words, model)
+    found = np.zeros(int(row.max(initial=-1)) + 1, np.float32)
+    np.maximum.at(found, row, table[bucket])
+    return found
+
+
 def window_starts(n: int, model: ToxicityModel) -> np.ndarray:
     """Overlapping windows over n words; the last one ends with the text."""
     if n <= model.window:
@@ -111,11 +169,11 @@ class Network:
             rng, h, d = np.random.default_rng(model.seed), model.hidden, 2 * model.size
             def drawn(*shape, by=None):
                 return (rng.standard_normal(shape) * (by or shape[0] ** -0.5)).astype(np.float32)
-            weights = {"word": drawn(model.words, model.size, by=0.1), "gram": drawn(model.grams, model.size, by=0.1),
+            weights = {"word": drawn(model.words, model.size, by=model.spread), "gram": drawn(model.grams, model.size, by=model.spread),
                        "att": drawn(2 * h, model.attention), "att_b": np.zeros(model.attention, np.float32),
                        "att_v": drawn(model.attention), "out": drawn(2 * h), "out_b": np.zeros(1, np.float32)}
             for way in "fb":
-                weights |= {f"in_{way}": drawn(d, 3 * h), f"rec_{way}": drawn(h, 3 * h),
+                weights |= {f"in_{way}": drawn(d, 3 * h), f"rec_{way}": drawn(h, 3 * h), f"odds_{way}": drawn(3 * h, by=0.1),
                             f"bias_{way}": np.zeros(3 * h, np.float32)}
         self.w = weights
 
@@ -150,12 +208,15 @@ class Network:
                 kept.append((t, before, update, reset, new, inner[:, 2 * h :], on))
         return states, kept
 
-    def forward(self, x, places, live, keep=False):
-        """Logits of windows; ``places`` are rows of ``x`` by time and window."""
+    def forward(self, x, places, live, odds=None, keep=False):
+        """Logits of windows; ``places`` are rows of ``x`` by time and window, ``odds`` those of their words."""
         both, steps = [], []
         for way in "fb":
             projected = x @ self.w[f"in_{way}"] + self.w[f"bias_{way}"]
-            states, kept = self._read(projected[places], live, way, keep)
+            fed = projected[places]
+            if odds is not None:
+                fed = fed + odds[:, :, None] * self.w[f"odds_{way}"]
+            states, kept = self._read(fed, live, way, keep)
             both.append(states)
             steps.append(kept)
         states = np.concatenate(both, axis=2)
@@ -167,11 +228,11 @@ class Network:
         logits = pooled @ self.w["out"] + self.w["out_b"][0]
         return (logits, (states, hidden, weight, pooled, steps)) if keep else logits
 
-    def gradients(self, vocab, places, live, target, importance):
+    def gradients(self, vocab, places, live, target, importance, odds=None):
         """Gradients of the weighted logistic loss of some windows."""
         h, g, w = self.model.hidden, {}, self.w
         x = self.inputs(vocab)
-        logits, (states, hidden, weight, pooled, steps) = self.forward(x, places, live, keep=True)
+        logits, (states, hidden, weight, pooled, steps) = self.forward(x, places, live, odds, keep=True)
         d_logit = ((_sigmoid(logits) - target) * importance / len(target)).astype(np.float32)
         g["out"], g["out_b"] = pooled.T @ d_logit, d_logit.sum(keepdims=True)
         d_pooled = d_logit[:, None] * w["out"]
@@ -199,6 +260,7 @@ class Network:
                 d_rec += before.T @ d_inner
                 carried = np.where(on, d_on * update, d) + d_inner @ rec.T
             flat, rows = d_fed.reshape(-1, 3 * h), places.reshape(-1)
+            g[f"odds_{way}"] = np.zeros(3 * h) if odds is None else odds.reshape(-1) @ flat
             projected = np.zeros((len(x), 3 * h), np.float32)
             np.add.at(projected, rows, flat)
             g[f"rec_{way}"], g[f"in_{way}"], g[f"bias_{way}"] = d_rec, x.T @ projected, flat.sum(axis=0)
@@ -219,11 +281,13 @@ def laid_out(rows, first, n, window: int):
     return rows[first + np.minimum(offset, n - 1)], live
 
 
-def score_windows(network: Network, words: Words, vocab, owner, first, n, chunk: int = 4096) -> np.ndarray:
+def score_windows(network: Network, vocab, first, n, odds, part=None, chunk: int = 4096) -> np.ndarray:
+    """Logits of windows; ``odds`` are rows of words' odds, of which ``part`` names each window's."""
     x, out = network.inputs(vocab), np.zeros(len(first), np.float32)
+    part = np.zeros(len(first), int) if part is None else part
     for a in range(0, len(first), chunk):
         places, live = laid_out(vocab[0], first[a : a + chunk], n[a : a + chunk], network.model.window)
-        out[a : a + chunk] = network.forward(x, places, live)
+        out[a : a + chunk] = network.forward(x, places, live, odds[part[None, a : a + chunk], places])
     return out
 
 
@@ -237,29 +301,6 @@ def top_of(owner, scores, texts: int):
     return best
 
 
-def _first_guess(words: Words, vocab, toxic: np.ndarray, use: np.ndarray, owner, first, n, model) -> np.ndarray:
-    """Windows' highest log odds of a word or a run of characters to be in a toxic text."""
-    text = np.repeat(np.arange(words.n), words.counts())
-    rows, bucket, grams, start, counts = vocab
-    odds = np.zeros(len(bucket))
-    pairs = np.unique(np.stack([text, rows]), axis=1)
-    pairs = pairs[:, use[pairs[0]]]
-    for feature, owners in ((bucket, np.arange(len(bucket))), (grams, np.repeat(np.arange(len(bucket)), counts))):
-        size = int(feature.max(initial=0)) + 1
-        by_row = np.split(feature[np.argsort(owners, kind="stable")], np.cumsum(np.bincount(owners, minlength=len(bucket)))[:-1])
-        lengths = np.array([len(f) for f in by_row])
-        seen = np.concatenate([by_row[r] for r in pairs[1].tolist()]) if pairs.shape[1] else np.zeros(0, int)
-        where = np.repeat(pairs[0], lengths[pairs[1]])
-        both = np.unique(where.astype(np.int64) * size + seen)
-        hit, kind = both // size, both % size
-        bad = np.bincount(kind[toxic[hit] == 1], minlength=size) / max(1, (toxic[use] == 1).sum())
-        good = np.bincount(kind[toxic[hit] == 0], minlength=size) / max(1, (toxic[use] == 0).sum())
-        gain = (bad - good) * np.log((bad + 1e-3) / (good + 1e-3)) * np.sign(bad - good).clip(0)
-        np.maximum.at(odds, owners, gain[feature])
-    values = odds[rows]
-    return np.array([values[a : a + k].max() for a, k in zip(first, n)])
-
-
 def fit(texts: pa.Array, toxic: np.ndarray, model: ToxicityModel) -> dict:
     """Weights and calibration from labelled texts."""
     words = Words(texts, NOT_ALNUM, LOWER)
@@ -268,7 +309,12 @@ def fit(texts: pa.Array, toxic: np.ndarray, model: ToxicityModel) -> dict:
     rng = np.random.default_rng(model.seed)
     back = rng.random(words.n) < model.held_back
     network = Network(model)
-    scores = _first_guess(words, vocab, toxic, ~back, owner, first, n, model)
+    part = rng.integers(0, model.parts, words.n)
+    table, others = word_odds(words, vocab[0], toxic, part, ~back, model)
+    # Held-back texts are counted nowhere, so they meet the odds of all the others.
+    odds = np.stack([odds_of(words, t, model) for t in (*others, table)])
+    part = np.where(back, model.parts, part)[owner]
+    scores = np.array([odds[p, vocab[0][a : a + k]].max() for p, a, k in zip(part, first, n)])
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.w.items()}
     step, begins = 0, np.searchsorted(owner, np.arange(words.n + 1))
     has = np.diff(begins) > 0
@@ -287,12 +333,13 @@ def fit(texts: pa.Array, toxic: np.ndarray, model: ToxicityModel) -> dict:
                 some = order[at : at + model.batch]
                 ids, y = picked[some], target[some]
                 places, live = laid_out(vocab[0], first[ids], n[ids], model.window)
+                near = odds[part[ids], places]
                 distinct, places = np.unique(places, return_inverse=True)
                 counts = vocab[4][distinct]
                 take = np.arange(counts.sum()) + np.repeat(vocab[3][distinct] - np.cumsum(counts) + counts, counts)
-                part = (None, vocab[1][distinct], vocab[2][take], np.cumsum(counts) - counts, counts)
+                inputs = (None, vocab[1][distinct], vocab[2][take], np.cumsum(counts) - counts, counts)
                 heavy = np.where(y == 1, np.float32(min(4.0, 0.5 / max(positive, 1e-3))), np.float32(1))
-                grads = network.gradients(part, places.reshape(live.shape), live, y, heavy)
+                grads = network.gradients(inputs, places.reshape(live.shape), live, y, heavy, near)
                 step += 1
                 for k, g in grads.items():
                     m, v = moments[k]
@@ -300,9 +347,10 @@ def fit(texts: pa.Array, toxic: np.ndarray, model: ToxicityModel) -> dict:
                     v += 0.001 * (g * g - v)
                     rate = model.rate * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
                     network.w[k] -= (rate * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
-        scores = score_windows(network, words, vocab, owner, first, n)
+        scores = score_windows(network, vocab, first, n, odds, part)
     check = np.flatnonzero(has & back) if (has & back).sum() >= 200 else np.flatnonzero(has)
-    return network.w | {"scale": calibration(text_evidence(owner, scores, words.n)[check], toxic[check])}
+    scale = calibration(text_evidence(owner, scores, words.n)[check], toxic[check])
+    return network.w | {"scale": scale, "odds": table}
 
 
 def text_evidence(owner, logits, texts: int) -> np.ndarray:
@@ -370,10 +418,10 @@ def train(docs: DataFrame, labels: DataFrame, model: ToxicityModel) -> bytes:
 
 
 def _scored(batches, weights: bytes, model: ToxicityModel):
-    network = scale = None
+    network = scale = table = None
     if weights:
         loaded = dict(np.load(io.BytesIO(weights)))
-        scale = loaded.pop("scale")
+        scale, table = loaded.pop("scale"), loaded.pop("odds")
         network = Network(model, loaded)
     for batch in batches:
         for part in slices(batch):
@@ -381,7 +429,8 @@ def _scored(batches, weights: bytes, model: ToxicityModel):
             score = np.zeros(words.n)
             if network and len(words):
                 owner, first, n = windows_of(words, model)
-                logits = score_windows(network, words, vocabulary(words, model), owner, first, n)
+                odds = odds_of(words, table, model)[None]
+                logits = score_windows(network, vocabulary(words, model), first, n, odds)
                 score = np.where(words.counts() > 0, _sigmoid(text_evidence(owner, logits, words.n) @ scale), 0.0)
             yield pa.RecordBatch.from_arrays(
                 [strings(part.column("doc_id")).cast(pa.int64()), pa.array(score)], ["doc_id", "score"])

@@ -1,6 +1,7 @@
 """The two trained models on held-out rows, and the pipeline against its stages' definitions."""
 
 import random
+from collections import Counter
 from dataclasses import replace
 
 import numpy as np
@@ -10,7 +11,9 @@ import pytest
 import corpus_pipeline
 from lodestone.llm import queries
 from lodestone.llm.classifier import QualityModel, Scorer, estimate_prior, fit, score_quality
-from lodestone.llm.toxicity import Network, ToxicityModel, laid_out, score_toxicity, vocabulary, window_starts
+from lodestone.llm.toxicity import (
+    Network, ToxicityModel, laid_out, odds_of, score_toxicity, vocabulary, window_starts, word_odds,
+)
 from lodestone.llm.words import LOWER, NOT_ALNUM, Words
 
 from .cases import awkward_docs, awkward_rows, empty_docs, jaccard_groups, kept_words, words
@@ -43,6 +46,39 @@ def test_toxicity_on_held_out_rows(spark, labels):
     assert ranked([r["score"] for r in rows], truth) > 0.9
     called = [y for r, y in zip(rows, truth) if r["predicted"]]
     assert np.mean(called) > 0.85
+    # Toxic texts are found, in every language, and more of them than by the odds of single words.
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    caught = {}
+    for r, y in zip(rows, truth):
+        if y:
+            caught.setdefault(docs[r["doc_id"]]["lang"], []).append(r["predicted"])
+    found = np.mean([p for ps in caught.values() for p in ps])
+    assert found >= 0.85 and np.mean(called) >= 0.9
+    assert all(np.mean(ps) >= 0.75 for ps in caught.values() if len(ps) >= 10), caught
+    held = {r["doc_id"] for r in rows}
+    sets = {i: set(docs[i]["text"].lower().split()) for i in labels if labels[i]["toxic"] is not None}
+    toxic = [sets[i] for i in sets if i not in held and labels[i]["toxic"]]
+    clean = [sets[i] for i in sets if i not in held and not labels[i]["toxic"]]
+    bad, good = Counter(w for s in toxic for w in s), Counter(w for s in clean for w in s)
+    odds = {w: (n + 0.5) / (len(toxic) + 1) / ((good[w] + 0.5) / (len(clean) + 1)) for w, n in bad.items()}
+    single = sorted(((max((odds.get(w, 0) for w in sets[i]), default=0), labels[i]["toxic"]) for i in held), reverse=True)
+    hits = np.cumsum([y for _, y in single])
+    best = max(hits[k] for k in range(len(single)) if hits[k] / (k + 1) >= np.mean(called)) / sum(truth)
+    assert found >= best, (found, best)
+
+
+def test_odds_leave_out_the_parts_they_are_used_on():
+    model = ToxicityModel(odds=1 << 12, least_texts=1, parts=2)
+    found = Words(pa.array(["badly one", "badder two", "fine one", "fine two"]), NOT_ALNUM, LOWER)
+    rows = vocabulary(found, model)[0]
+    part, toxic = np.array([0, 1, 0, 1]), np.array([1, 1, 0, 0])
+    table, others = word_odds(found, rows, toxic, part, np.ones(4, bool), model)
+    at = dict(zip((found.word(i) for i in range(len(found))), rows))
+    whole, without = odds_of(found, table, model), [odds_of(found, t, model) for t in others]
+    assert whole[at[b"badly"]] == whole[at[b"badder"]] > 0 == whole[at[b"fine"]]
+    # Without its own part a word has only its beginning "bad" in common with a toxic text.
+    assert without[0][at[b"badly"]] == without[1][at[b"badder"]] > 0
+    assert without[0][at[b"one"]] == without[0][at[b"fine"]] == 0
 
 
 def test_prior_is_found_without_negatives():
@@ -68,10 +104,13 @@ def test_network_gradients_are_those_of_its_loss():
     net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
 
     def loss():
-        z = net.forward(net.inputs(vocab), places, live)
+        z = net.forward(net.inputs(vocab), places, live, odds)
         return float((weight * (np.log1p(np.exp(z)) - target * z)).mean())
 
-    grads, rng = net.gradients(vocab, places, live, target, weight), np.random.default_rng(0)
+    odds = np.random.default_rng(4).random(places.shape) * live
+    plain = net.gradients(vocab, places, live, target, weight)
+    assert not plain["odds_f"].any()
+    grads, rng = net.gradients(vocab, places, live, target, weight, odds), np.random.default_rng(0)
     for name, g in grads.items():
         for _ in range(6):
             at = tuple(rng.integers(0, s) for s in g.shape)
