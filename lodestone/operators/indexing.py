@@ -27,6 +27,7 @@ class Index:
     if the index keeps the ids it holds, and ``cuts`` if it keeps the ids that
     split its documents into blocks (``doc_cuts``). ``increments`` is set if
     ``term_stats`` is the sum of increments (term, df, cf) of several segments.
+    ``bounds`` is set if block bounds are stored, for blocks of 2^``block_bits`` ids.
     """
 
     postings: DataFrame
@@ -37,6 +38,8 @@ class Index:
     documents: DataFrame | None = None
     cuts: list | None = None
     increments: DataFrame | None = None
+    bounds: DataFrame | None = None
+    block_bits: int | None = None
 
     @property
     def doc_ids(self) -> DataFrame:

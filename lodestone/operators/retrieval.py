@@ -20,28 +20,33 @@ from ..plans.ranking import doc_cuts, rank_all_per_query, top_k_per_query
 from ..plans.sizing import QueryBatch
 from ..plans.skew import salted_join
 from .indexing import Index, title_lookup
+from .pruning import pruned_bm25
 from .queries import query_term_counts
 
 RESULT = ["query_id", "rank", "doc_id", "title", "score"]
 
 
-def matching_postings(batch: QueryBatch, terms: DataFrame, index: Index) -> DataFrame:
-    """Postings of the queries' terms, with the columns of ``terms`` and ``df``.
-
-    ``terms`` is (query_id, term, ...). It meets the term statistics first, which
-    drops unknown and rare terms; what is left picks bucket folders and postings.
-    A batch too large to broadcast is joined with salted terms.
-    """
-    keys = ["term"]
+def known_terms(batch: QueryBatch, terms: DataFrame, index: Index) -> DataFrame:
+    """The rows of (query_id, term, ...) whose term is above the threshold, with df and bucket."""
     if index.n_buckets:
         terms = terms.withColumn("bucket", term_bucket("term", index.n_buckets))
-        keys = ["bucket", "term"]
     terms = batch.broadcast_terms(terms)
     if index.increments is None:
         known = index.terms.select("term", "df")
     else:
         known = index.statistics_of(terms).where(F.col("df") > index.min_df).select("term", "df")
-    known = known.join(terms, "term")
+    return known.join(terms, "term")
+
+
+def matching_postings(batch: QueryBatch, terms: DataFrame, index: Index) -> DataFrame:
+    """Postings of the queries' terms, with the columns of ``terms`` and ``df``.
+
+    ``terms`` is (query_id, term, ...). It meets the term statistics first, which
+    drops unknown and rare terms; what is left picks bucket folders and postings.
+    A batch too large to broadcast is joined with salted terms.
+    """
+    known = known_terms(batch, terms, index)
+    keys = ["bucket", "term"] if index.n_buckets else ["term"]
     if not batch.terms_fit:
         return salted_join(index.postings, known, keys, "doc_id")
     return index.postings.join(batch.broadcast_terms(known), keys)
@@ -68,8 +73,13 @@ def bm25_top(batch: QueryBatch, body: Index, n, avgdl, k1=BM25_K1, b=BM25_B, k2=
     """(query_id, rank, doc_id, score): best k documents of each query by BM25.
 
     Scored postings stay partitioned by document from the join with the document
-    statistics through the sum per (query, document).
+    statistics through the sum per (query, document). If the index has block bounds, blocks of
+    documents that cannot reach a query's k-th score are left out; the result is the same.
     """
+    if body.bounds is not None:
+        known = known_terms(batch, query_term_counts(batch.queries), body)
+        top = pruned_bm25(batch, known, body, n, avgdl, k1, b, k2, k, _relevance_order())
+        return top.select("query_id", "rank", "doc_id", "score")
     matches = matching_postings(batch, query_term_counts(batch.queries), body)
     idf = bm25_idf(F.col("df"), n)
     score = bm25_term_score(idf, F.col("tf"), F.col("dl"), avgdl, k1, b, k2)

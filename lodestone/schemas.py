@@ -40,6 +40,19 @@ DOC_STATS = T.StructType([
     T.StructField("nf", T.LongType()),
 ])
 
+# Of each term and block of documents: postings, and the frequencies and lengths that may score highest.
+BOUNDS = T.StructType([
+    T.StructField("term", T.StringType()),
+    T.StructField("block", T.LongType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("shapes", T.ArrayType(T.StructType([
+        T.StructField("tf", T.LongType()),
+        T.StructField("dl", T.LongType()),
+    ]))),
+    T.StructField("bits", T.IntegerType()),
+    T.StructField("bucket", T.LongType()),
+])
+
 PAGERANK = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("pagerank", T.DoubleType()),

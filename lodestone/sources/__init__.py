@@ -6,6 +6,7 @@ from .index_store import (
     index_documents,
     read_index,
     save_global_stats,
+    write_bounds,
     write_index,
 )
 from .pageviews import (
@@ -21,7 +22,7 @@ from .ranks import read_rank_csv, show_top_ranks, write_rank_csv
 __all__ = [
     "corpus_count", "project_field", "read_corpus",
     "append_index", "compact_index", "delete_index", "index_documents", "read_index",
-    "save_global_stats", "write_index",
+    "save_global_stats", "write_bounds", "write_index",
     "pageviews_by_article", "parse_pageview_line", "read_pageview_dump",
     "read_pageviews", "write_pageviews",
     "read_qrels", "write_qrels",

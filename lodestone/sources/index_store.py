@@ -30,12 +30,13 @@ from ..operators.indexing import (
     summed,
     term_statistics,
 )
+from ..operators.pruning import BLOCK_BITS, block_bounds
 from ..plans.layout import cluster_by_bucket
 from ..plans.ranking import doc_cuts
 from ..plans.runtime import hadoop_path, remove_folder, scratch_scope, stored_table
 from ..plans.sizing import MAX_BROADCAST_ROWS, broadcast_if_bounded
 from ..plans.skew import salted_join
-from ..schemas import DOC_STATS, MARKED_POSTINGS, STORED_POSTINGS, TERM_STATS
+from ..schemas import BOUNDS, DOC_STATS, MARKED_POSTINGS, STORED_POSTINGS, TERM_STATS
 
 SETTINGS = ("batch bigint, min_df bigint, n_buckets bigint, cuts array<double>, n_docs bigint, "
             "segments array<struct<batch: bigint, docs: bigint>>")
@@ -208,6 +209,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
     batches = [s["batch"] for s in settings["segments"]]
     documents = _added_up(spark, path, batches, "doc_stats", DOC_STATS)
     many = len(batches) > 1
+    bounds, bits = _read_bounds(spark, path, settings["batch"])
     return Index(
         postings=_read_postings(spark, path, batches).drop("head"),
         term_stats=_added_up(spark, path, batches, "term_stats", TERM_STATS),
@@ -217,9 +219,35 @@ def read_index(spark: SparkSession, path: str) -> Index:
         documents=documents.select("doc_id"),
         cuts=settings["cuts"],
         increments=_increments(spark, path, batches, "term_stats", TERM_STATS) if many else None,
+        bounds=bounds,
+        block_bits=bits,
     )
 
 
+def write_bounds(spark: SparkSession, path: str, bits: int = BLOCK_BITS) -> Index:
+    """Store block bounds of a stored index and return it with them.
+
+    They hold for the version at hand: an addition gives a version without bounds.
+    """
+    version = _versions(spark, path)
+    if not version:
+        raise FileNotFoundError(f"no index at {path}")
+    bounds = block_bounds(read_index(spark, path), bits)
+    bounds.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "block").write.mode(
+        "overwrite").partitionBy("bucket").parquet(f"{path}/stats/{version[-1]}/bounds")
+    return read_index(spark, path)
+
+
+def _read_bounds(spark: SparkSession, path: str, version: int):
+    folder = f"{path}/stats/{version}/bounds"
+    done, files = hadoop_path(spark, f"{folder}/_SUCCESS")
+    if not files.exists(done):
+        return None, None
+    bounds = spark.read.schema(BOUNDS).parquet(folder)
+    row = bounds.select("bits").first()
+    return (bounds, row["bits"]) if row else (None, None)
+
+
 def crossing_postings(index: Index, stats: DataFrame) -> DataFrame:
     """Old postings of the terms that ``stats`` lifts over the threshold.
 

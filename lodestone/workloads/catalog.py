@@ -447,6 +447,20 @@ def search_bm25(spark, sf):
         rt.search_bm25(work.queries, work.body, work.titles, work.n, work.avgdl), "score")
 
 
+@query
+def search_bm25_blocks(spark, sf):
+    """The same over an index with bounds for blocks of 32 documents."""
+    work = Workspace(spark, sf)
+
+    def build(path):
+        io.index_documents(fx.bodies(work.corpus), path, BODY_MIN_DF, n_buckets=N_BUCKETS)
+        io.write_bounds(spark, path, bits=5)
+
+    body = io.read_index(spark, work.folder("body_blocks", build))
+    return _rounded(
+        rt.search_bm25(work.queries, body, work.titles, work.n, work.avgdl), "score")
+
+
 @query
 def search_bm25_tuned(spark, sf):
     """Other constants than the customary ones, and a shorter list."""

@@ -399,6 +399,7 @@ def oracle_sql() -> dict[str, str]:
         "anchor_documents": c("SELECT term, doc_id, tf FROM anchor_all", "anchor_all"),
         # ranking and lookup
         "search_bm25": c(_result("bm25"), "bm25", "titles"),
+        "search_bm25_blocks": c(_result("bm25"), "bm25", "titles"),
         "search_bm25_tuned": c(_result("tuned"), "tuned", "titles"),
         "search_body": c(_result(f"({top_body})"), "body_scores", "titles"),
         "search_title": c(_ranked("title_hits"), "title_hits", "titles"),
