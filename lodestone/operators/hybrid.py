@@ -124,4 +124,5 @@ def search(queries, indexes: Indexes, titles: DataFrame, pagerank: DataFrame,
         fusion_score(F.col("x"), F.col("y"), F.lit(weights.anchor_bonus),
                      F.lit(weights.pagerank_scale), F.lit(weights.pageview_scale)),
     )
-    return with_titles(batch, top_k_per_query(scored, k, fusion_order()), titles, k)
+    top = top_k_per_query(scored, k, fusion_order(), lead=F.round("score", 9))
+    return with_titles(batch, top, titles, k)

@@ -88,7 +88,7 @@ def bm25_top(batch: QueryBatch, body: Index, n, avgdl, k1=BM25_K1, b=BM25_B, k2=
         .groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("qtf") * score).alias("score"), F.min("pos").alias("pos"))
     )
-    return top_k_per_query(scored, k, _relevance_order()).select(
+    return top_k_per_query(scored, k, _relevance_order(), lead=F.round("score", 9)).select(
         "query_id", "rank", "doc_id", "score"
     )
 
@@ -131,7 +131,7 @@ def search_body(queries, body: Index, titles: DataFrame, k=100) -> DataFrame:
         .select("query_id", "doc_id", "pos",
                 (F.col("dot") / F.col("query_norm") / F.sqrt("nf")).alias("score"))
     )
-    top = top_k_per_query(scored, k, _relevance_order())
+    top = top_k_per_query(scored, k, _relevance_order(), lead=F.round("score", 9))
     return with_titles(batch, top, titles, k)
 
 

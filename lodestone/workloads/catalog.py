@@ -522,7 +522,7 @@ def top_k_per_query_5000(spark, sf):
     work = Workspace(spark, sf)
     hits = rt.word_hits(work.queries, work.body)
     order = [F.desc("score"), F.asc("first_word"), F.asc("doc_id")]
-    return top_k_per_query(hits, 5000, order).select("query_id", "doc_id", "rank")
+    return top_k_per_query(hits, 5000, order, lead=F.col("score")).select("query_id", "doc_id", "rank")
 
 
 @query
