@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.runtime import checkpoint_dir
+from ..plans.runtime import stored_table
 from ..plans.sizing import MAX_BROADCAST_ROWS
 from .indexing import explode_anchors
 
@@ -56,22 +56,21 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset=0.15, it
     more than ``heavy_degree`` links would overload their partition: their edges
     stay spread out and meet a broadcast of those few ranks, of which there are
     fewer than edges / heavy_degree. Edges, vertices and, every few rounds, ranks
-    are checkpointed, so that a lost executor costs no earlier round again.
+    are stored in the scratch folder, so that a lost executor costs no earlier round again;
+    a scratch scope around the call and the use of its result removes them.
     """
     spark = edges.sparkSession
-    checkpoint_dir(spark)
     store = StorageLevel.MEMORY_AND_DISK
 
-    edges = edges.select("src", "dst").checkpoint()
+    edges = stored_table(edges.select("src", "dst"), "edges")
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     partitions = partitions or max(least, ceil(edges.count() / EDGES_A_PARTITION))
     vertices = edge_vertices(edges) if vertices is None else vertices
     degrees = edges.groupBy("src").agg(F.count("*").alias("degree"))
+    placed = vertices.select("id").join(degrees, F.col("id") == F.col("src"), "left").select(
+        "id", F.coalesce("degree", F.lit(0)).alias("degree"))
     state = (
-        vertices.select("id")
-        .join(degrees, F.col("id") == F.col("src"), "left")
-        .select("id", F.coalesce("degree", F.lit(0)).alias("degree"))
-        .checkpoint()
+        stored_table(placed, "vertices")
         .repartition(partitions, "id")
         .sortWithinPartitions("id")
         .persist(store)
@@ -107,7 +106,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset=0.15, it
             (reset + (1 - reset) * F.coalesce("received", F.lit(0.0))).alias("rank"),
         )
         if step % checkpoint_every == 0 or step == iters:
-            ranks = ranks.checkpoint()
+            ranks = stored_table(ranks, "ranks")
     for frame in (light, state):
         frame.unpersist()
 

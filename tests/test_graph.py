@@ -91,3 +91,21 @@ def test_sort_ranks(spark):
     df = spark.createDataFrame([(1, 0.5), (2, 2.0), (3, 0.5)], "id bigint, pagerank double")
     assert [r.id for r in graph.sort_ranks(df).collect()] == [2, 1, 3]
     assert graph.sort_ranks(df).select(F.first("id")).first()[0] == 2
+
+
+def test_tables_of_the_rounds_go_with_their_scope(spark, tmp_path):
+    import os
+
+    from lodestone.plans import scratch_path, scratch_scope
+
+    def left():
+        root = scratch_path(spark).removeprefix("file:")
+        return {d for d, _, files in os.walk(root) if any(f.endswith(".parquet") for f in files)}
+
+    before = left()
+    with scratch_scope(spark):
+        found = graph.pagerank(*frames(spark, EDGES))
+        found.write.parquet(f"{tmp_path}/ranks")
+        assert len(left() - before) == 4
+    assert left() == before
+    assert ranks(spark.read.parquet(f"{tmp_path}/ranks")) == pytest.approx(RANKS, abs=1e-6)
