@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..plans import scratch_path
+from ..plans import own_scratch, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,8 +43,11 @@ def in_arrow(df: DataFrame, function, schema: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: lineage ends there."""
-    path = scratch_path(df.sparkSession, "llm", f"{name}-{uuid4().hex}")
+    """Write ``df`` to the shared scratch folder and read it back: lineage ends there.
+
+    The table goes with the scratch scope it was stored in, if there is one.
+    """
+    path = own_scratch(scratch_path(df.sparkSession, "llm", f"{name}-{uuid4().hex}"))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
