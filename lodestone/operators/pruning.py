@@ -19,7 +19,7 @@ from .indexing import Index
 
 BLOCK_BITS = 12
 # So many runs of blocks become literals, by which a scan leaves out pages of its files.
-LITERAL_RUNS = 500
+LITERAL_RUNS = 100
 # Bounds are sums in another order than scores; nobody is left out by less than this.
 SLACK = 1e-6
 
@@ -53,11 +53,13 @@ def _literal_runs(wanted: DataFrame, bits: int):
     found = runs.limit(LITERAL_RUNS + 1).collect()
     if len(found) > LITERAL_RUNS:
         return None
-    kept = F.lit(False)
-    for r in sorted(found, key=lambda r: (r["bucket"], r["term"], r["low"])):
-        kept = kept | ((F.col("bucket") == r["bucket"]) & (F.col("term") == r["term"])
-                       & (F.col("doc_id") >= r["low"] << bits) & (F.col("doc_id") < (r["high"] + 1) << bits))
-    return kept
+    kept = [(F.col("bucket") == r["bucket"]) & (F.col("term") == r["term"])
+            & (F.col("doc_id") >= r["low"] << bits) & (F.col("doc_id") < (r["high"] + 1) << bits)
+            for r in sorted(found, key=lambda r: (r["bucket"], r["term"], r["low"]))]
+    # Joined two by two, so that the condition is no deeper than it must be.
+    while len(kept) > 1:
+        kept = [a | b for a, b in zip(kept[::2], kept[1::2])] + kept[len(kept) // 2 * 2 :]
+    return kept[0] if kept else F.lit(False)
 
 
 def _scored(index: Index, wanted: DataFrame, bits: int, score) -> DataFrame:

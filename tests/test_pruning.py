@@ -101,3 +101,20 @@ def test_an_addition_has_no_bounds_until_they_are_written(spark, tmp_path):
     with scratch_scope(spark):
         whole = retrieval.bm25_top(batch, plain(index), 700, 200.0, k=7).orderBy("rank").collect()
         assert retrieval.bm25_top(batch, index, 700, 200.0, k=7).orderBy("rank").collect() == whole
+
+
+def test_runs_of_blocks_become_one_flat_condition(spark):
+    """As many runs as are allowed, of several words; the condition must stay within the stack."""
+    wanted = spark.range(0, 200, 2).select(
+        F.lit(1).cast("bigint").alias("bucket"), F.concat(F.lit("w"), F.col("id") % 3).alias("term"),
+        F.col("id").alias("block"))
+    wanted = wanted.unionByName(wanted.where("block = 0").withColumn("block", F.lit(1).cast("bigint")))
+    kept = pruning._literal_runs(wanted, 4)
+    postings = spark.range(0, 3200).select(
+        F.col("id").alias("doc_id"), F.lit(1).cast("bigint").alias("bucket"),
+        F.explode(F.array(*[F.lit(f"w{k}") for k in range(4)])).alias("term"))
+    assert postings.where(kept).count() == wanted.count() * 16
+    many = spark.range(0, 202, 2).select(
+        F.lit(1).cast("bigint").alias("bucket"), F.lit("w").alias("term"), F.col("id").alias("block"))
+    assert pruning._literal_runs(many, 4) is None
+    assert postings.where(pruning._literal_runs(many.limit(0), 4)).count() == 0
