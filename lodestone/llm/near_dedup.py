@@ -46,12 +46,13 @@ class NearDedup:
 
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-# What tells classes apart.
+# What tells sets apart.
 KEY = ("key_a", "key_b", "n_shingles")
 
 
 def _class():
-    return F.struct(*KEY).alias("cls")
+    """A class by its smallest document id and half of its key: few classes share an id."""
+    return F.struct("id", "key_a").alias("cls")
 
 
 def _one(x: int) -> np.uint64:
@@ -168,7 +169,8 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = sets.select(F.col("cls").alias("class_b"), F.col("shingles").alias("set_b"))
     return (
         pairs.join(left, "class_a").join(right, "class_b")
-        .select("class_a", "class_b", "a", "b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"),
+        .select("class_a", "class_b", F.col("class_a.id").alias("a"), F.col("class_b.id").alias("b"),
+                F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"),
                 F.concat(F.array_except("set_a", "set_b"), F.array_except("set_b", "set_a")).alias("odd"))
     )
 
@@ -226,14 +228,17 @@ def _leftover_links(key, rows, how: NearDedup):
 def leftover_links(compared: DataFrame, roots: DataFrame, how: NearDedup) -> DataFrame:
     """Links that the star edges leave out, for groups whose members lie in several components."""
     placed = compared.join(roots, compared["b"] == roots["id"], "left").select(
-        "class_a.key_a", "class_a.key_b", "b", "n_b", "odd", F.coalesce("root", "b").alias("root"))
-    centre = ["key_a", "key_b"]
+        "a", "class_a.key_a", "b", "n_b", "odd", F.coalesce("root", "b").alias("root"))
+    centre = ["a", "key_a"]
     groups = (
         placed.groupBy(*centre)
         .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
         .where("low < high")
         .select(*centre, F.ceil(F.col("members") / how.block).cast("int").alias("blocks"))
     )
+    # Broadcast behind a count: in a shuffle all members of a large group would meet in one task.
+    groups = stored(groups, "groups")
+    groups = broadcast_if_bounded(groups, groups.count())
     rows = placed.join(groups, centre).withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(*centre, F.least("block", "other").alias("lower"), F.greatest("block", "other").alias("upper"),
@@ -258,15 +263,14 @@ def near_duplicates(docs: DataFrame, how: NearDedup | None = None) -> DataFrame:
     classes = stored(
         found.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*KEY)
         .agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes")
-    banded = classes.select(F.struct("id", _class()).alias("one"), F.explode("bands").alias("bucket"))
+    banded = classes.select(_class(), F.explode("bands").alias("bucket"))
     starts = (
-        banded.groupBy("bucket").agg(F.min("one").alias("centre"), F.max("one").alias("most"))
+        banded.groupBy("bucket").agg(F.min("cls").alias("centre"), F.max("cls").alias("most"))
         .where("centre < most").select("bucket", "centre")
     )
-    pairs = stored(banded.join(starts, "bucket").where("one > centre").select(
-        F.col("centre.cls").alias("class_a"), F.col("one.cls").alias("class_b"),
-        F.col("centre.id").alias("a"), F.col("one.id").alias("b")).distinct(), "pairs")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
+    pairs = stored(banded.join(starts, "bucket").where("cls > centre").select(
+        F.col("centre").alias("class_a"), F.col("cls").alias("class_b")).distinct(), "pairs")
+    wanted = stored(pairs.select(F.explode(F.array("class_a.id", "class_b.id")).alias("doc_id")).distinct(), "wanted")
     wanted = broadcast_if_bounded(wanted, wanted.count())
     sets = stored(class_sets(rows, classes, wanted, again, how), "sets")
     compared = stored(_compared(pairs, sets), "compared")
