@@ -4,6 +4,8 @@ Every search takes ``queries`` (query_id, query), answers all of them in one job
 and returns (query_id, rank, doc_id, title, score).
 """
 
+from math import ceil
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from ..functions.scoring import (
 )
 from ..functions.text import term_bucket
 from ..plans.ranking import doc_cuts, rank_all_per_query, top_k_per_query
+from ..plans.runtime import stored_table
 from ..plans.sizing import QueryBatch
 from ..plans.skew import salted_join
 from .indexing import Index, title_lookup
@@ -24,6 +27,8 @@ from .pruning import pruned_bm25
 from .queries import query_term_counts
 
 RESULT = ["query_id", "rank", "doc_id", "title", "score"]
+# Rows (query, term, document) that one task sums up.
+TASK_ROWS = 2_000_000
 
 
 def known_terms(batch: QueryBatch, terms: DataFrame, index: Index) -> DataFrame:
@@ -52,6 +57,29 @@ def matching_postings(batch: QueryBatch, terms: DataFrame, index: Index) -> Data
     return index.postings.join(batch.broadcast_terms(known), keys)
 
 
+def dealt_postings(batch: QueryBatch, terms: DataFrame, index: Index, facts: DataFrame) -> DataFrame:
+    """As ``matching_postings``, joined with the documents' ``facts`` and dealt by document.
+
+    Postings are shuffled once each, however many queries share a term, and meet the queries
+    behind the shuffle. The document frequencies add up to the rows that come out; they set the
+    number of partitions, so a task's share of (query, document) doesn't grow with the index.
+    """
+    if not batch.terms_fit:
+        return matching_postings(batch, terms, index).join(facts, "doc_id")
+    known = stored_table(known_terms(batch, terms, index), "known")
+    keys = ["bucket", "term"] if index.n_buckets else ["term"]
+    rows = known.agg(F.sum("df")).first()[0] or 0
+    parts = max(batch.queries.sparkSession.sparkContext.defaultParallelism, ceil(rows / TASK_ROWS))
+    # Spark prunes folders at run time only by a side with a filter of its own.
+    wanted = known.where("df > 0").select(*keys).distinct()
+    found = index.postings.join(F.broadcast(wanted), keys, "left_semi").select("term", "doc_id", "tf")
+    return (
+        found.repartition(parts, "doc_id")
+        .join(facts.repartition(parts, "doc_id").hint("shuffle_hash"), "doc_id")
+        .join(F.broadcast(known.drop("bucket")), "term")
+    )
+
+
 def matching_documents(queries, index: Index) -> DataFrame:
     """Distinct (query_id, doc_id) where the document has a term of the query."""
     batch = QueryBatch.of(queries)
@@ -72,19 +100,19 @@ def bm25_top(batch: QueryBatch, body: Index, n, avgdl, k1=BM25_K1, b=BM25_B, k2=
              k=100) -> DataFrame:
     """(query_id, rank, doc_id, score): best k documents of each query by BM25.
 
-    Scored postings stay partitioned by document from the join with the document
-    statistics through the sum per (query, document). If the index has block bounds, blocks of
+    Postings are dealt by document and stay so through the sum per (query, document)
+    (``dealt_postings``). If the index has block bounds, blocks of
     documents that cannot reach a query's k-th score are left out; the result is the same.
     """
     if body.bounds is not None:
         known = known_terms(batch, query_term_counts(batch.queries), body)
         top = pruned_bm25(batch, known, body, n, avgdl, k1, b, k2, k, _relevance_order())
         return top.select("query_id", "rank", "doc_id", "score")
-    matches = matching_postings(batch, query_term_counts(batch.queries), body)
+    facts = body.doc_stats.select("doc_id", "dl")
     idf = bm25_idf(F.col("df"), n)
     score = bm25_term_score(idf, F.col("tf"), F.col("dl"), avgdl, k1, b, k2)
     scored = (
-        matches.join(body.doc_stats.select("doc_id", "dl"), "doc_id")
+        dealt_postings(batch, query_term_counts(batch.queries), body, facts)
         .groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("qtf") * score).alias("score"), F.min("pos").alias("pos"))
     )
@@ -119,8 +147,7 @@ def search_body(queries, body: Index, titles: DataFrame, k=100) -> DataFrame:
     indexed = body.doc_stats.agg(F.count("*")).scalar()
     weight = F.col("tf") / F.col("dl") * cosine_idf(F.col("df"), indexed)
     scored = (
-        matching_postings(batch, terms, body)
-        .join(body.doc_stats, "doc_id")
+        dealt_postings(batch, terms, body, body.doc_stats)
         .groupBy("query_id", "doc_id")
         .agg(
             F.sum(weight * F.col("qtf") * F.col("qtf")).alias("dot"),

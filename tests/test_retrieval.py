@@ -6,6 +6,7 @@ from lodestone.plans import QueryBatch, rank_all_per_query
 from lodestone.sources import read_index, write_index
 
 from . import micro
+from .plans import metric, steps
 
 
 @pytest.fixture(scope="module", params=["derived", "stored"])
@@ -191,3 +192,24 @@ def test_hot_term_is_split_in_a_shuffled_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("kind", ["bm25", "cosine"])
+def test_postings_are_dealt_once_however_many_queries_share_a_term(spark, kind, monkeypatch):
+    """A task's pairs are bounded by its partition, whose number follows the document frequencies."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat_ws(
+        " ", F.lit("common"), F.concat(F.lit("other"), F.col("id") % 2),
+        F.array_join(F.array_repeat(F.lit("filler"), (F.col("id") % 7).cast("int")), " ")).alias("text"))
+    index = indexing.build_index(docs, 1)
+    queries = spark.range(60).select(F.col("id").alias("query_id"), F.lit("common other1 filler").alias("query"))
+    monkeypatch.setattr(retrieval, "TASK_ROWS", 5000)
+    titles = docs.select("doc_id", F.lit("t").alias("title"))
+    found = (retrieval.search_bm25(queries, index, titles, 400, 3.0, k=5) if kind == "bm25"
+             else retrieval.search_body(queries, index, titles, k=5))
+    rows = found.collect()
+    assert len(rows) == 300 and len({(r.rank, r.doc_id, r.score) for r in rows}) == 5
+    # 400 "common", 200 "other1" and 342 "filler" postings, 60 queries each: 56,520 rows.
+    dealt = [s for s in steps(found, "ShuffleExchangeExec") if "BY_NUM" in s.shuffleOrigin().toString()]
+    assert max(metric(s, "shuffleRecordsWritten") for s in dealt) == 942
+    assert {s.numPartitions() for s in dealt} == {12}
+    assert all(metric(s, "shuffleRecordsWritten") < 60 * 400 for s in steps(found, "ShuffleExchangeExec"))
