@@ -1,5 +1,7 @@
 """Views that turn the test tables into a corpus, link graph, dump, queries and judgments."""
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ from ..sources.pageviews import pageviews_by_article, parse_pageview_line
 BODY_MIN_DF = 50
 TITLE_MIN_DF = 5
 N_BUCKETS = 8
+# Documents in a part of the stored corpus.
+PART_ROWS = 20_000
 
 ANCHOR_PATTERN = r'<a href="([^"]*)">([^<]*)</a>'
 
@@ -38,7 +42,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles: documents, titled by their first line, with the links of the page of same id."""
+    """Articles: documents, titled by their first line, with the links of the page of same id.
+
+    Texts are shuffled once, straight into the parts that are stored: one per core at least, as
+    the test tables are single row groups, and one per ``PART_ROWS`` documents. Links are hashed
+    within a part, so texts are not sorted.
+    """
     documents = table(spark, sf_dir, "documents")
     n = documents.count()
     links = F.arrays_zip(
@@ -52,8 +61,11 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         )).alias("anchor_text"),
     )
     none = F.array().cast(CORPUS["anchor_text"].dataType)
+    parts = max(spark.sparkContext.defaultParallelism, ceil(n / PART_ROWS))
     return (
-        documents.withColumnRenamed("doc_id", "id").join(anchors, "id", "left")
+        documents.withColumnRenamed("doc_id", "id").repartition(parts, "id")
+        .join(anchors.repartition(parts, "id").hint("shuffle_hash"), "id", "left")
+        .coalesce(parts)
         .select("id", F.substring_index("text", "\n", 1).alias("title"), "text",
                 F.coalesce("anchor_text", none).alias("anchor_text"))
     )
@@ -165,10 +177,7 @@ class Workspace:
 
     @property
     def corpus(self) -> DataFrame:
-        # One file per core at least, as the test tables are single row groups.
-        cores = self.spark.sparkContext.defaultParallelism
-        return self._frame(
-            "corpus", lambda: corpus(self.spark, self.sf_dir).repartition(cores, "id"))
+        return self._frame("corpus", lambda: corpus(self.spark, self.sf_dir))
 
     @property
     def body(self) -> Index:

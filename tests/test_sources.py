@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone import sources as io
+from lodestone.workloads import fixtures
 
 from . import micro
+from .plans import shuffled_rows
 
 
 def test_read_corpus_excludes_files(spark, tmp_path):
@@ -119,3 +121,12 @@ def test_qrels(spark, tmp_path):
     (tmp_path / "bad.json").write_text('{"q": [1]}\n\n{"q": [1, }\n')
     with pytest.raises(Exception, match="MALFORMED|malformed"):
         io.read_qrels(spark, f"{tmp_path}/bad.json").collect()
+
+
+def test_the_fixture_corpus_shuffles_each_text_once(spark):
+    """The join with the links deals texts into the parts that are stored."""
+    sf = "/root/testdata/sf0.001"
+    corpus = fixtures.corpus(spark, sf)
+    corpus.collect()
+    counts = [fixtures.table(spark, sf, name).count() for name in ("pages", "documents")]
+    assert sorted(shuffled_rows(corpus)) == counts
