@@ -239,9 +239,14 @@ def prune_rare_terms(postings: DataFrame, min_df: int = 50) -> DataFrame:
     postings = stored_table(postings, "postings")
     frequent = stored_table(
         document_frequency(postings).where(F.col("df") > min_df).select("term"), "frequent")
-    if frequent.count() <= MAX_BROADCAST_ROWS:
-        return postings.join(F.broadcast(frequent), "term", "left_semi")
-    return salted_join(postings, frequent, ["term"], "doc_id", "left_semi")
+    return with_terms(postings, frequent)
+
+
+def with_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
+    """Postings of the terms in a stored table: few are broadcast, many meet salted keys."""
+    if terms.count() <= MAX_BROADCAST_ROWS:
+        return postings.join(F.broadcast(terms), "term", "left_semi")
+    return salted_join(postings, terms, ["term"], "doc_id", "left_semi")
 
 
 def partition_postings(postings: DataFrame, n: int = 124) -> DataFrame:
@@ -311,17 +316,19 @@ def add_documents(index: Index, docs: DataFrame) -> Index:
     """The index with a batch of new (doc_id, tokens) added, as a plan.
 
     Term statistics are summed with those of the batch, without reading the old
-    postings again. Document statistics are retaken, as a term that crosses the
+    postings again. The batch's postings and the sums are stored once, in the scratch
+    folder, so that texts are tokenised once. Document statistics are retaken, as a term that crosses the
     threshold also changes old documents; ``append_index`` adds to a stored index
     without that. Ids that are in the index or come twice are refused.
     """
-    new = count_tokens(require_unique(docs, index.doc_ids))
+    new = stored_table(count_tokens(require_unique(docs, index.doc_ids)), "new")
     postings = index.postings.select("term", "doc_id", "tf").unionByName(new)
-    stats = (
-        index.term_stats.unionByName(term_statistics(new))
-        .groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
-    )
-    documents = document_statistics(retained_postings(postings, stats, index.min_df))
+    stats = stored_table(
+        summed(index.term_stats.unionByName(term_statistics(new)), "term", "df", "cf"), "totals")
+    retained = postings
+    if index.min_df > 0:
+        retained = with_terms(postings, stats.where(F.col("df") > index.min_df).select("term"))
+    documents = document_statistics(retained)
     return Index(postings, stats, documents, index.min_df)
 
 

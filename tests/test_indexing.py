@@ -12,6 +12,7 @@ from lodestone.sources import append_index, delete_index, read_index, write_inde
 from lodestone.sources.index_store import crossing_postings
 
 from . import micro
+from .plans import steps
 
 DOCS = "/root/testdata/sf0.001/documents.parquet"
 
@@ -230,3 +231,18 @@ def test_long_lists_are_cut_in_groups(spark):
         assert [found[q][k + 1] for k in range(len(best))] == [i for _, i in best]
     plan = top_k_per_query(hits, 1500, order)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") == 2 and "salt" in plan
+
+
+def test_added_documents_are_counted_once(spark):
+    """What add_documents returns reads the stored postings of the batch; only the old tokens are counted again."""
+    tokens = "doc_id bigint, tokens array<string>"
+    first = ix.index_from_tokens(spark.createDataFrame([(1, ["tea", "tea"]), (2, ["tea", "pot"])], tokens), 1)
+    both = ix.add_documents(first, spark.createDataFrame([(3, ["pot", "pot", "cup"]), (4, [])], tokens))
+    assert rows(both.terms.select("term", "df", "cf")) == [("pot", 2, 3), ("tea", 2, 3)]
+    assert rows(both.doc_stats) == [(1, 2, 4), (2, 2, 2), (3, 2, 4)]
+    batch = both.postings.where("doc_id > 2")
+    assert rows(batch) == [("cup", 3, 1), ("pot", 3, 2)]
+    both.term_stats.collect()
+    both.postings.collect()
+    assert steps(both.term_stats, "GenerateExec") == []
+    assert len(steps(both.postings, "GenerateExec")) == 1
