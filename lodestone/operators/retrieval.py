@@ -20,15 +20,13 @@ from ..functions.scoring import (
 from ..functions.text import term_bucket
 from ..plans.ranking import doc_cuts, rank_all_per_query, top_k_per_query
 from ..plans.runtime import stored_table
-from ..plans.sizing import QueryBatch
+from ..plans.sizing import TASK_ROWS, QueryBatch
 from ..plans.skew import salted_join
 from .indexing import Index, title_lookup
 from .pruning import pruned_bm25
 from .queries import query_term_counts
 
 RESULT = ["query_id", "rank", "doc_id", "title", "score"]
-# Rows (query, term, document) that one task sums up.
-TASK_ROWS = 2_000_000
 
 
 def known_terms(batch: QueryBatch, terms: DataFrame, index: Index) -> DataFrame:

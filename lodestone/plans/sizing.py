@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from ..functions.text import tokenize
 
 MAX_BROADCAST_ROWS = 1_000_000
+# Rows (query, term, document) that one task of a search sums up.
+TASK_ROWS = 2_000_000
 
 
 def broadcast_if_bounded(df: DataFrame, rows: int, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
