@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from lodestone.operators import pruning, retrieval
 from lodestone.plans import QueryBatch, scratch_scope
+from lodestone.plans.runtime import stored_table
 from lodestone.sources import append_index, index_documents, read_index, write_bounds
 
-from .plans import metric, steps
+from .plans import metric, shuffled_rows, steps
 
 PAGE_ROWS = "parquet.page.row.count.limit"
 N = 24_000
@@ -83,6 +84,37 @@ def test_bounds_hold_for_every_posting(spark, path):
     assert max(len(r["shapes"]) for r in shapes.values()) <= 9
 
 
+def test_bounds_shuffle_postings_once(spark, path):
+    index = read_index(spark, path)
+    rows = index.retained.count()
+    bounds = pruning.block_bounds(index, bits=5)
+    assert bounds.agg(F.sum("n")).first()[0] == rows
+    bounds.collect()
+    assert shuffled_rows(bounds) == [rows]
+
+
+def test_sums_of_bounds_are_stored_per_query_and_block(spark, path, monkeypatch):
+    """Words of a query share the row of a block, and postings of other words are not shuffled."""
+    index = read_index(spark, path)
+    stored = {}
+
+    def kept(df, name):
+        stored[name] = stored_table(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(pruning, "stored_table", kept)
+    monkeypatch.setattr(pruning, "LITERAL_RUNS", 0)
+    monkeypatch.setattr(pruning, "broadcast_if_bounded", lambda df, rows: df)
+    batch = QueryBatch.of(spark.createDataFrame([(1, "seldom filler7 filler8")], "query_id bigint, query string"))
+    top = retrieval.bm25_top(batch, index, N, 200.0, k=20)
+    assert len(top.collect()) == 20
+    assert not {"term", "bucket"} & {c for name in stored if name != "known" for c in stored[name].columns}
+    blocks = index.bounds.where(F.col("term").isin("seldom", "filler7", "filler8")).select("block").distinct()
+    assert stored["blocks"].count() == blocks.count()
+    found = index.postings.where(F.col("term").isin("seldom", "filler7", "filler8")).count()
+    assert max(shuffled_rows(top)) <= max(found, N)
+
+
 def test_many_runs_are_joined_instead(spark, path, monkeypatch):
     index = read_index(spark, path)
     batch = QueryBatch.of(spark.createDataFrame([(1, "common seldom")], "query_id bigint, query string"))
