@@ -18,9 +18,11 @@ from ..plans.ranking import top_k_per_query
 from ..plans.runtime import stored_table
 from ..plans.sizing import TASK_ROWS, QueryBatch, broadcast_if_bounded
 from ..plans.skew import salted_join
-from .indexing import Index
+from .indexing import Index, with_terms
 
 BLOCK_BITS = 12
+# Bounds of a term are built in spans of 2^16 ids, so no task holds the rows of a whole term.
+SPAN_BITS = 16
 # So many runs of blocks become literals, by which a scan leaves out pages of its files.
 LITERAL_RUNS = 100
 # Bounds are sums in another order than scores; nobody is left out by less than this.
@@ -32,19 +34,23 @@ def block_bounds(index: Index, bits: int = BLOCK_BITS) -> DataFrame:
 
     Frequencies of one class keep their maximum and the least document length, so a row holds
     at most as many pairs as there are powers of two below the highest frequency. Postings are
-    shuffled once, by term and block, and both aggregates follow there.
+    shuffled once, by term and span of ids, and both aggregates follow there.
     """
     lengths = index.doc_stats.select("doc_id", "dl")
-    placed = index.retained.join(broadcast_if_bounded(lengths, lengths.count()), "doc_id").select(
+    # Counted, as Spark shuffles all postings by term where the statistics' files are too large for it.
+    retained = with_terms(index.postings, index.terms.select("term")) if index.min_df > 0 else index.postings
+    placed = retained.join(broadcast_if_bounded(lengths, lengths.count()), "doc_id").select(
         "bucket", "term", "tf", "dl", F.shiftright("doc_id", bits).alias("block"))
-    # Several operators of a task hold its rows at once, so it gets a quarter of the usual ones.
-    dealt = placed.repartition(4 * _tasks(index.terms), "term", "block")
-    key = ["bucket", "term", "block"]
+    # Several operators of a task hold its rows at once, so it gets a quarter of the usual ones. A
+    # term's rows stay together over spans of ids, which packs them better than blocks alone.
+    placed = placed.withColumn("span", F.shiftright("block", max(0, SPAN_BITS - bits)))
+    dealt = placed.repartition(4 * _tasks(index.terms), "term", "span")
+    key = ["bucket", "term", "span", "block"]
     classes = dealt.groupBy(*key, F.floor(F.log2("tf")).alias("class")).agg(
         F.max("tf").alias("tf"), F.min("dl").alias("dl"), F.count("*").alias("n"))
     return classes.groupBy(*key).agg(
         F.sum("n").alias("n"), F.collect_list(F.struct("tf", "dl")).alias("shapes")
-    ).withColumn("bits", F.lit(bits))
+    ).drop("span").withColumn("bits", F.lit(bits))
 
 
 def _tasks(terms: DataFrame) -> int:

@@ -84,9 +84,13 @@ def test_bounds_hold_for_every_posting(spark, path):
     assert max(len(r["shapes"]) for r in shapes.values()) <= 9
 
 
-def test_bounds_shuffle_postings_once(spark, path):
+def test_bounds_shuffle_postings_once(spark, path, request):
     index = read_index(spark, path)
     rows = index.retained.count()
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    request.addfinalizer(lambda: spark.conf.set(threshold, before))
     bounds = pruning.block_bounds(index, bits=5)
     assert bounds.agg(F.sum("n")).first()[0] == rows
     bounds.collect()
