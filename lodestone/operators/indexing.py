@@ -97,30 +97,27 @@ def count_tokens(docs: DataFrame, marked: bool = False) -> DataFrame:
     the first posting of each row carries the row's length and norm in a column ``head``,
     which is null on all others.
     """
-    none = F.array()
     words = docs.select(
         "doc_id",
-        F.sort_array(F.coalesce("tokens", none.cast("array<string>"))).alias("words"),
+        F.sort_array(F.coalesce("tokens", F.array().cast("array<string>"))).alias("words"),
     )
-    word, size = F.col("words"), F.size("words")
-    places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(none.cast("array<int>"))
-    starts = F.filter(places, lambda i: (i == 0) | (word[i] != word[i - 1]))
+    word, size = F.col("words"), F.size("words").cast("bigint")
+    starts = F.array_compact(F.transform(
+        word, lambda this, i: F.when((i == 0) | (this != word[i - 1]), i)))
     runs = words.select("doc_id", "words", starts.alias("starts"))
-    bounds = F.concat("starts", F.array(F.size("words")))
-    ends = F.slice(bounds, 2, F.size("starts"))
+    ends = F.slice(F.concat("starts", F.array(F.size("words"))), 2, F.size("starts"))
+    carried = [F.lit(None).alias("head")]
     if marked:
         squares = F.aggregate(F.zip_with("starts", ends, lambda start, end: (end - start).cast("bigint")),
                               F.lit(0).cast("bigint"), lambda total, tf: total + tf * tf)
-        # Within the first run, so that no array is carried along with every posting.
-        head = F.named_struct(F.lit("dl"), F.size("words").cast("bigint"), F.lit("nf"), squares)
-
-    def run(start, end):
-        found = [word[start].alias("term"), (end - start).cast("bigint").alias("tf")]
-        return F.struct(*found, F.when(start == 0, head).alias("head")) if marked else F.struct(*found)
-
-    counts = F.zip_with("starts", ends, run)
-    return runs.select("doc_id", F.explode(counts).alias("run")).select(
-        "run.term", "doc_id", "run.tf", *(["run.head"] if marked else []))
+        carried = [F.struct(size.alias("dl"), squares.alias("nf")).alias("head")]
+    # Behind the explode stand plain expressions only, which Spark compiles: no array is copied along with a posting.
+    rows = runs.select("doc_id", "words", "starts", ends.alias("ends"), *carried).select(
+        "doc_id", "words", "head", F.explode(F.arrays_zip("starts", "ends")).alias("run"))
+    start = F.col("run.starts")
+    return rows.select(
+        word[start].alias("term"), "doc_id", (F.col("run.ends") - start).cast("bigint").alias("tf"),
+        *([F.when(start == 0, F.col("head")).alias("head")] if marked else []))
 
 
 def term_frequencies(docs: DataFrame, stopwords=None) -> DataFrame:

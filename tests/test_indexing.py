@@ -246,3 +246,17 @@ def test_added_documents_are_counted_once(spark):
     both.postings.collect()
     assert steps(both.term_stats, "GenerateExec") == []
     assert len(steps(both.postings, "GenerateExec")) == 1
+
+
+def test_postings_leave_documents_through_compiled_steps(spark):
+    """No lambda runs per posting, and counts, lengths and norms are those of plain Python."""
+    docs = [(1, ["b", "a", "b", "b"]), (2, []), (3, None), (4, ["c"]), (5, ["x"] * 30 + ["y"])]
+    postings = ix.count_tokens(spark.createDataFrame(docs, "doc_id bigint, tokens array<string>"), marked=True)
+    found = postings.collect()
+    counts = {d: Counter(words or []) for d, words in docs}
+    assert {(r["doc_id"], r["term"]): r["tf"] for r in found} == {
+        (d, w): n for d, count in counts.items() for w, n in count.items()}
+    assert {r["doc_id"]: tuple(r["head"]) for r in found if r["head"]} == {
+        d: (sum(count.values()), sum(n * n for n in count.values())) for d, count in counts.items() if count}
+    generate, = steps(postings, "GenerateExec")
+    assert "lambda" not in generate.simpleString(10_000)

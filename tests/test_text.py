@@ -89,3 +89,12 @@ def test_query_terms_positions_and_weights(spark):
     assert weights[1] == (1304.4103830767667, 5.193904691848007)
     assert weights[4] == (149.15920831630416, 59.41622193605568)
     assert df.select(F.max("query_id")).first()[0] == 4
+
+
+def test_buckets_of_any_number(spark):
+    """For powers of two the last digits of the hash decide; they are all that is converted."""
+    terms = spark.createDataFrame([(t,) for t in ("tion", "étude", "", "日本語", "a" * 40)], "term string")
+    for n in (1, 2, 8, 16, 64, 100, 124, 1024, 4096):
+        rows = terms.select("term", term_bucket("term", n).alias("b")).collect()
+        assert all(r["b"] == bucket_of(r["term"], n) for r in rows)
+    assert "10, 1)" in str(term_bucket("term", 8)._jc.toString())
