@@ -106,12 +106,16 @@ def _uncommitted(spark: SparkSession, path: str, batch: int):
 # ---- segments
 
 
-def _write_postings(postings: DataFrame, path: str, batch: int, n_buckets: int) -> DataFrame:
-    """Write a segment's postings and read them back, with ``head`` if they are marked."""
+def _write_postings(postings: DataFrame, path: str, batch: int, n_buckets: int | None) -> DataFrame:
+    """Write a segment's postings and read them back, with ``head`` if they are marked.
+
+    Without ``n_buckets`` they keep the buckets that they bring along.
+    """
     columns = ["term", "doc_id", "tf", *(["head"] if "head" in postings.columns else [])]
+    placed = ["bucket"] if n_buckets is None else []
     folder = f"{path}/postings/batch={batch}"
     (
-        cluster_by_bucket(postings.select(*columns), n_buckets)
+        cluster_by_bucket(postings.select(*columns, *placed), n_buckets)
         .write.mode("overwrite").partitionBy("bucket").parquet(folder)
     )
     return postings.sparkSession.read.schema(MARKED_POSTINGS).parquet(folder).select(*columns, "bucket")
@@ -319,7 +323,7 @@ def _merge(spark: SparkSession, path: str, settings: dict, last: int) -> dict:
     """Commit a version whose ``last`` newest segments are one; increments of a key are added up."""
     kept, merged = settings["segments"][:-last], settings["segments"][-last:]
     batches, batch = [s["batch"] for s in merged], settings["batch"] + 1
-    _write_postings(_read_postings(spark, path, batches), path, batch, settings["n_buckets"])
+    _write_postings(_read_postings(spark, path, batches), path, batch, None)
     for name, schema in (("term_stats", TERM_STATS), ("doc_stats", DOC_STATS)):
         _write_stats(_added_up(spark, path, batches, name, schema), path, batch, name, schema)
     docs = sum(s["docs"] for s in merged)

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from lodestone.functions import bucket_of
 from lodestone.operators import indexing as ix
 from lodestone.plans.runtime import clear_scratch, scratch_path, scratch_scope, stored_table
 from lodestone.sources import append_index, compact_index, index_documents, read_index, write_index
@@ -187,3 +188,21 @@ def test_clear_scratch(spark, monkeypatch):
     assert made.count() == 3
     clear_scratch(spark)
     assert not os.path.exists(base.removeprefix("file:"))
+
+
+def test_merge_keeps_stored_buckets(spark, tmp_path, monkeypatch):
+    """Merging segments moves postings with the buckets they lie in; no term is hashed again."""
+    path = f"{tmp_path}/ix"
+    index_documents(numbered_docs(spark, 0, 40), path, 3, n_buckets=4)
+    append_index(spark, path, numbered_docs(spark, 40, 60))
+    before = tables(read_index(spark, path))
+
+    def hashed(*_):
+        raise AssertionError("terms are hashed again")
+
+    monkeypatch.setattr("lodestone.plans.layout.term_bucket", hashed)
+    merged = compact_index(spark, path)
+    monkeypatch.undo()
+    assert len(segments(spark, path)) == 1 and tables(merged) == before
+    placed = merged.postings.select("term", "bucket").distinct().collect()
+    assert all(r["bucket"] == bucket_of(r["term"], 4) for r in placed)
