@@ -1,47 +1,19 @@
 """Stored intermediate tables, blocked numbering and connected components."""
 
-import os
-import tempfile
-import zipfile
-from pathlib import Path
 from uuid import uuid4
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..plans import own_scratch, scratch_path
+from ..plans import in_arrow, own_scratch, scratch_path
+
+__all__ = ["components", "in_arrow", "numbered", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_shipped: set = set()
-
-
-def in_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package: it is added to the session once.
-
-    Workers outlive their tasks, so each task hands its unused Arrow memory back.
-    """
-    context = df.sparkSession.sparkContext
-    if context.applicationId not in _shipped:
-        package = Path(__file__).resolve().parents[1]
-        archive = os.path.join(tempfile.mkdtemp(prefix="lodestone-"), "lodestone.zip")
-        with zipfile.ZipFile(archive, "w") as out:
-            for source in sorted(package.rglob("*.py")):
-                out.write(source, source.relative_to(package.parent))
-        context.addPyFile(archive)
-        _shipped.add(context.applicationId)
-
-    def task(batches):
-        yield from function(batches)
-        pa.default_memory_pool().release_unused()
-
-    return df.mapInArrow(task, schema)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: lineage ends there.
 

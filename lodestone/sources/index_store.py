@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.stopwords import index_stopwords
 from ..functions.text import term_bucket, tokenize
+from ..operators.counting import placed_postings
 from ..operators.indexing import (
     Index,
     count_tokens,
@@ -183,16 +184,15 @@ def index_documents(docs: DataFrame, path: str, min_df: int = 50, stopwords=None
     Texts are read once. Postings are shuffled once, into the stored layout; those of rare
     terms a second time, by document. Ids that come twice are refused.
     """
-    return _replace(_counted(docs, stopwords), path, min_df, n_buckets)
+    return _replace(_counted(docs, stopwords, n_buckets), path, min_df, n_buckets)
 
 
-def _counted(docs: DataFrame, stopwords=None) -> DataFrame:
-    """Marked postings of (doc_id, text) without stopwords, or of (doc_id, tokens) as they are."""
+def _counted(docs: DataFrame, stopwords=None, n_buckets: int = 1) -> DataFrame:
+    """Marked postings of (doc_id, tokens) as they are, or of (doc_id, text) without stopwords, with buckets."""
     if "tokens" in docs.columns:
         return count_tokens(docs, marked=True)
-    words = index_stopwords() if stopwords is None else list(stopwords)
-    kept = F.filter(tokenize("text"), lambda t: ~t.isin(words))
-    return count_tokens(docs.select("doc_id", kept.alias("tokens")), marked=True)
+    words = index_stopwords() if stopwords is None else stopwords
+    return placed_postings(docs.select("doc_id", tokenize("text").alias("tokens")), n_buckets, words)
 
 
 def _replace(postings: DataFrame, path: str, min_df: int, n_buckets: int) -> Index:
@@ -200,7 +200,8 @@ def _replace(postings: DataFrame, path: str, min_df: int, n_buckets: int) -> Ind
     before = _settings(spark, path)
     batch = before["batch"] + 1 if before else 0
     with _uncommitted(spark, path, batch):
-        written = _write_postings(postings, path, batch, n_buckets)
+        placed = "bucket" in postings.columns
+        written = _write_postings(postings, path, batch, None if placed else n_buckets)
         stored = Index(written, term_statistics(written), None, min_df, n_buckets)
         save_global_stats(stored, path, batch, before)
     return read_index(spark, path)

@@ -1,11 +1,12 @@
 """Stored indexes as segments: what is written, what is merged, what is removed."""
 
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.functions import bucket_of
+from lodestone.functions import bucket_of, remove_stopwords, term_bucket, tokenize
 from lodestone.operators import indexing as ix
 from lodestone.plans.runtime import clear_scratch, scratch_path, scratch_scope, stored_table
 from lodestone.sources import append_index, compact_index, index_documents, read_index, write_index
@@ -70,6 +71,36 @@ def test_one_small_shuffle_gives_all_document_facts(spark):
     assert rows(bare) == rows(facts)
 
 
+def test_postings_leave_the_count_in_stored_order(spark):
+    """A batch's postings come by bucket, term and document, equal to those counted row by row."""
+    texts = ["green tea den den Éclair", None, "", "the and of", "tea TEA leaf #tag", "ab x", "a'bcd den green"]
+    docs = spark.createDataFrame(
+        [(None if i % 7 == 3 else 90 - i // 2, f"{texts[i % 7] or ''} word{i % 11}" if i % 7 > 2 else texts[i % 7])
+         for i in range(60)], "doc_id bigint, text string").coalesce(1)
+    stop = ["the", "leaf"]
+    plain = ix.count_tokens(docs.select("doc_id", remove_stopwords(tokenize("text"), stop).alias("tokens")), marked=True)
+    plain = plain.withColumn("bucket", term_bucket("term", 5))
+    counted = store._counted(docs, stop, 5).select(*plain.columns)
+    whole = counted.collect()
+    assert [r["bucket"] for r in whole] == sorted(r["bucket"] for r in whole)
+    keys = [(r["bucket"], r["term"].encode(), r["doc_id"] or 0) for r in whole]
+    assert keys == sorted(keys) and len(keys) > 100
+
+    def heads(rows):
+        return sorted((r["doc_id"] or 0, *r["head"]) for r in rows if r["head"])
+
+    same = plain.drop("head").collect()
+    assert Counter(r[:3] + r[4:] for r in whole) == Counter(map(tuple, same))
+    assert heads(whole) == heads(plain.collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        parts = counted.collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert Counter(r[:3] + r[4:] for r in parts) == Counter(map(tuple, same))
+    assert heads(parts) == heads(whole)
+
+
 def test_repeated_ids_are_found_by_the_same_aggregate(spark, tmp_path):
     twice = spark.createDataFrame([(1, ["green"]), (2, ["tea"]), (1, ["leaf"]), (3, [])], TOKENS)
     with pytest.raises(ValueError, match="1"):
