@@ -5,15 +5,29 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..plans import in_arrow, own_scratch, scratch_path
+from .. import plans
+from ..plans import own_scratch, scratch_path
 
-__all__ = ["components", "in_arrow", "numbered", "stored", "table"]
+# A batch stands in memory four times at least: as Spark's vectors, serialised, in the worker and in its slices.
+BATCH_BYTES = "4m"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` over batches of a few MB, unless the session sets a size of its own.
+
+    Operators cut batches into slices of that size anyway; Spark's 64 MB would only be held.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, BATCH_BYTES)
+    return plans.in_arrow(df, function, schema)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: lineage ends there.
 

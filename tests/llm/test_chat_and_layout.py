@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.llm import shards
+from lodestone.llm import shards, tables
 from lodestone.llm.chat import ChatTemplate, chat_digests, escape, format_chats, read_back, unescape
 from lodestone.llm.packing import Packing, TokenIds, best_filling, pack, plan_windows
 from lodestone.llm.shards import Ring, assign_shards, bounds, fill
@@ -189,3 +189,22 @@ def test_shards_number_the_fullest_arc_in_bounded_blocks(spark, monkeypatch):
     rows = [(None if k % 3 else k, "x") for k in range(300)]
     assert assign_shards(awkward_docs(spark, rows)).count() == 300
     assert asked[0] >= 200
+
+
+def test_workers_get_batches_of_a_few_megabytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)]), pa.array([batch.nbytes])], ["n", "size"])
+
+    before = spark.conf.get(tables.BATCH_SETTING, None)
+    spark.conf.unset(tables.BATCH_SETTING)
+    try:
+        docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 800).alias("text"))
+        found = tables.in_arrow(docs, sizes, "n long, size long").collect()
+        assert sum(r["n"] for r in found) == 4000 and max(r["size"] for r in found) < 5 << 20
+        spark.conf.set(tables.BATCH_SETTING, "8m")
+        assert max(r["size"] for r in tables.in_arrow(docs, sizes, "n long, size long").collect()) > 5 << 20
+    finally:
+        spark.conf.unset(tables.BATCH_SETTING)
+        if before is not None:
+            spark.conf.set(tables.BATCH_SETTING, before)
